@@ -20,6 +20,12 @@ RAINY_MONTHS = (12, 1, 2, 3)
 MAX_OFFSET, MIN_OFFSET = 3.0, 8.0
 
 
+def round_scaled(value: Column, digits: int) -> Column:
+    """Round half to even on the scaled value, as array libraries do."""
+    scale = 10.0**digits
+    return F.rint(value * scale) / scale
+
+
 def _positive_part(value: Column) -> Column:
     return F.when(value.isNotNull(), F.greatest(F.lit(0.0), value))
 
@@ -29,7 +35,7 @@ def growing_degree_days(temperature_avg: Column) -> Column:
 
 
 def heat_stress_index(temperature: Column) -> Column:
-    return F.round(_positive_part(temperature - HEAT_STRESS_BASE), 1)
+    return round_scaled(_positive_part(temperature - HEAT_STRESS_BASE), 1)
 
 
 def water_stress_risk(temperature_max: Column, precipitation: Column) -> Column:
@@ -68,7 +74,7 @@ def is_rainy_season(date: Column) -> Column:
 def derived_temperatures(mean: Column) -> dict[str, Column]:
     """Daily maximum, minimum and mean from the unrounded mean."""
     return {
-        "temperature_max": F.round(mean + MAX_OFFSET, 1),
-        "temperature_min": F.round(mean - MIN_OFFSET, 1),
-        "temperature_avg": F.round(mean, 1),
+        "temperature_max": round_scaled(mean + MAX_OFFSET, 1),
+        "temperature_min": round_scaled(mean - MIN_OFFSET, 1),
+        "temperature_avg": round_scaled(mean, 1),
     }

@@ -24,7 +24,22 @@ def coverage_percent(vegetation_pixels: Column, count: Column) -> Column:
 
 
 def percent_text(percent: Column) -> Column:
-    return F.format_string("%.1f%%", percent)
+    """One decimal, correctly rounded from the stored binary value, half to even.
+
+    Ten times the value is 8x + 2x; ``rest`` is what that sum lost, and it
+    decides where the sum lies halfway between two tenths.
+    """
+    eight, two = percent * 8.0, percent * 2.0
+    tenfold = eight + two
+    back = tenfold - eight
+    rest = (eight - (tenfold - back)) + (two - back)
+    halfway = (tenfold - F.floor(tenfold)) == 0.5
+    tenths = (
+        F.when(halfway & (rest > 0), F.ceil(tenfold))
+        .when(halfway & (rest < 0), F.floor(tenfold))
+        .otherwise(F.rint(tenfold).cast("bigint"))
+    )
+    return F.format_string("%d.%d%%", F.floor(tenths / 10), tenths % 10)
 
 
 def trend_direction(slope: Column) -> Column:

@@ -165,9 +165,13 @@ def advanced_analytics(log: DataFrame) -> DataFrame:
 
 
 def analytics_document(analytics: DataFrame, timestamp: dt.datetime | None = None) -> DataFrame:
-    """Nested form of ``advanced_analytics``; a section with too little data is NULL."""
+    """Nested form of ``advanced_analytics``; a section with too little data is NULL.
+
+    Months become text, as keys of JSON objects are.
+    """
     stamp = F.current_timestamp() if timestamp is None else F.lit(timestamp)
-    no_months = F.create_map().cast("map<int,double>")
+    months = F.col("seasonal_pattern").cast("map<string,double>")
+    no_months = F.create_map().cast("map<string,double>")
     return analytics.select(
         "aoi_id",
         F.when(
@@ -176,7 +180,7 @@ def analytics_document(analytics: DataFrame, timestamp: dt.datetime | None = Non
                 "trend_slope",
                 "trend_direction",
                 "r_squared",
-                F.coalesce("seasonal_pattern", no_months).alias("seasonal_pattern"),
+                F.coalesce(months, no_months).alias("seasonal_pattern"),
             ),
         ).alias("trend_analysis"),
         F.when(

@@ -46,8 +46,8 @@ def daily_climate(raw: DataFrame) -> DataFrame:
         *_keys(raw),
         "date",
         *[c.alias(n) for n, c in C.derived_temperatures(t).items()],
-        F.round("precipitation", 2).alias("precipitation"),
-        F.round(C.clamp_humidity(F.col("humidity")), 1).alias("humidity"),
+        C.round_scaled(F.col("precipitation"), 2).alias("precipitation"),
+        C.round_scaled(C.clamp_humidity(F.col("humidity")), 1).alias("humidity"),
         C.heat_stress_index(t).alias("heat_stress_index"),
     )
 
@@ -59,10 +59,10 @@ def climate_summary(indices: DataFrame, keys: Sequence[str] | None = None) -> Da
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.count("*").alias("total_days"),
-        F.round(F.avg("temperature_avg"), 1).alias("avg_temperature"),
-        F.round(F.sum("precipitation"), 1).alias("total_precipitation"),
+        C.round_scaled(F.avg("temperature_avg"), 1).alias("avg_temperature"),
+        C.round_scaled(F.sum("precipitation"), 1).alias("total_precipitation"),
         F.sum("water_stress_risk").alias("heat_stress_days"),
-        F.round(F.sum("growing_degree_days"), 1).alias("growing_degree_days"),
+        C.round_scaled(F.sum("growing_degree_days"), 1).alias("growing_degree_days"),
     )
 
 

@@ -84,13 +84,15 @@ def aoi_cells(aoi: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
 def assign_aoi(
     pixels: DataFrame,
     aoi: DataFrame,
+    keys: Sequence[str] = (),
     cell: float = CELL_DEGREES,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_vertices: int = MAX_BROADCAST_VERTICES,
 ) -> DataFrame:
     """Spatial join: every pixel with every polygon it lies in or on.
 
-    Equi-join on the grid cell, then box and exact test.  The polygons' cells
+    Equi-join on the grid cell (and ``keys``, such as the scene chosen for the
+    polygon), then box and exact test.  The polygons' cells
     are broadcast while their rows and vertices are within the bounds; beyond
     them the join is shuffled with salted cells, so that a cell which holds a
     large share of the pixels is spread over many tasks.
@@ -109,9 +111,9 @@ def assign_aoi(
         & G.point_in_ring(lon, lat, F.col("ring"))
     )
     if bound["rows"] <= max_rows and bound["vertices"] <= max_vertices:
-        joined = placed.join(F.broadcast(cells), ["_cx", "_cy"]).where(hit)
+        joined = placed.join(F.broadcast(cells), [*keys, "_cx", "_cy"]).where(hit)
     else:
-        joined = salted_join(placed, cells, ["_cx", "_cy"], ["lon", "lat"], residual=hit)
+        joined = salted_join(placed, cells, [*keys, "_cx", "_cy"], ["lon", "lat"], residual=hit)
     return joined.drop("_cx", "_cy", "min_lon", "min_lat", "max_lon", "max_lat", "ring")
 
 

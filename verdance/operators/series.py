@@ -10,7 +10,7 @@ bounded by the days of the calendar plus entries / 2**20.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,20 +28,23 @@ MIN_SEASONAL_CHART = 4
 MIN_SEASONAL = 6
 MIN_ANOMALY = 4
 
-_IN_BLOCK = W.partitionBy(*BLOCK).orderBy("seq", "scene_id")
-
 
 def _blocked(log: DataFrame) -> DataFrame:
     return log.withColumn("_block", F.shiftright("seq", BLOCK_BITS))
 
 
+def _in_block() -> Column:
+    """Position of an entry in its block, from 0."""
+    return F.row_number().over(W.partitionBy(*BLOCK).orderBy("seq", "scene_id")) - 1
+
+
 def _blocks(log: DataFrame) -> DataFrame:
     """One row per block: moments of NDVI, its product sum with the position in
     the block, and the number of earlier entries of the area."""
     y = F.col("ndvi_mean")
     blocks = (
         _blocked(log)
-        .select(*BLOCK, "ndvi_mean", (F.row_number().over(_IN_BLOCK) - 1).alias("_i"))
+        .select(*BLOCK, "ndvi_mean", _in_block().alias("_i"))
         .groupBy(*BLOCK)
         .agg(
             F.count("*").alias("_n"),
@@ -115,7 +118,7 @@ def with_series(log: DataFrame) -> DataFrame:
     profile = blocks.select(*BLOCK, "_before").join(_summarise(blocks), "aoi_id")
     return (
         _blocked(log)
-        .withColumn("_i", F.row_number().over(_IN_BLOCK) - 1)
+        .withColumn("_i", _in_block())
         .join(profile, BLOCK)
         .withColumn("idx", F.col("_before") + F.col("_i"))
         .drop("_before", "_i", "_block")

@@ -23,10 +23,14 @@ def cents(value: Column) -> Column:
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return pixels_of(table(spark, sf_dir, "lineitem"))
+
+
+def pixels_of(lineitem: DataFrame) -> DataFrame:
+    """Pixels of the line items, batch or stream."""
     order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     price = cents(F.col("l_extendedprice"))
-    return li.select(
+    return lineitem.select(
         F.col("l_suppkey").alias("aoi_id"),
         F.trunc(F.col("l_shipdate").cast("date"), "month").alias("scene_date"),
         (price % 4000).alias("red_dn"),
