@@ -18,9 +18,13 @@ VEGETATION_NDVI = 0.3
 EVI_GAIN, EVI_C1, EVI_C2, EVI_L = 2.5, 6.0, 7.5, 1.0
 
 
+def valid_dn(dn: Column) -> Column:
+    """Digital number as a double; outside (0, scale] is no data."""
+    return F.when((dn > 0) & (dn <= int(DN_SCALE)), dn.cast("double"))
+
+
 def reflectance(dn: Column) -> Column:
-    """Digital number to reflectance; outside (0, 1] is no data."""
-    return F.when((dn > 0) & (dn <= int(DN_SCALE)), dn / F.lit(DN_SCALE))
+    return valid_dn(dn) / DN_SCALE
 
 
 def nan_to_null(value: Column) -> Column:
@@ -35,8 +39,9 @@ def ndvi(red: Column, nir: Column) -> Column:
     return _ratio(nir - red, nir + red)
 
 
-def evi(red: Column, nir: Column, blue: Column) -> Column:
-    return F.lit(EVI_GAIN) * _ratio(nir - red, nir + EVI_C1 * red - EVI_C2 * blue + EVI_L)
+def evi(red: Column, nir: Column, blue: Column, one: float = 1.0) -> Column:
+    """``one`` is the band value of full reflectance."""
+    return F.lit(EVI_GAIN) * _ratio(nir - red, nir + EVI_C1 * red - EVI_C2 * blue + EVI_L * one)
 
 
 def ndwi(green: Column, nir: Column) -> Column:
@@ -44,28 +49,28 @@ def ndwi(green: Column, nir: Column) -> Column:
 
 
 _BUILDERS = {
-    "NDVI": lambda b: ndvi(b["red"], b["nir"]),
-    "EVI": lambda b: evi(b["red"], b["nir"], b["blue"]),
-    "NDWI": lambda b: ndwi(b["green"], b["nir"]),
+    "NDVI": lambda b, one: ndvi(b["red"], b["nir"]),
+    "EVI": lambda b, one: evi(b["red"], b["nir"], b["blue"], one),
+    "NDWI": lambda b, one: ndwi(b["green"], b["nir"]),
 }
 
 
-def vegetation_index(name: str, bands: dict[str, Column]) -> Column:
-    """The index called ``name`` from reflectance columns keyed by band."""
-    return _BUILDERS[name.upper()](bands)
+def vegetation_index(name: str, bands: dict[str, Column], one: float = 1.0) -> Column:
+    """The index called ``name`` from band columns, reflectances by default."""
+    return _BUILDERS[name.upper()](bands, one)
 
 
 def with_indices(pixels: DataFrame) -> DataFrame:
     """Replace the ``*_dn`` columns by ``ndvi``, ``evi`` and ``ndwi``.
 
-    Only the bands' reflectances are bound to names first, so each is computed
-    once per pixel inside one generated stage.
+    The indices are ratios, so they are formed from digital numbers: sums and
+    differences are then exact, and a denominator of zero is seen as zero.
     """
-    scaled = pixels.withColumns({b: reflectance(F.col(f"{b}_dn")) for b in BANDS})
+    masked = pixels.withColumns({b: valid_dn(F.col(f"{b}_dn")) for b in BANDS})
     bands = {b: F.col(b) for b in BANDS}
-    return scaled.withColumns(
-        {name.lower(): vegetation_index(name, bands) for name in INDEX_NAMES}
-    ).drop(*[f"{b}_dn" for b in BANDS])
+    return masked.withColumns(
+        {name.lower(): vegetation_index(name, bands, DN_SCALE) for name in INDEX_NAMES}
+    ).drop(*bands, *[f"{b}_dn" for b in BANDS])
 
 
 def processed_indices() -> Column:

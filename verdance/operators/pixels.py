@@ -11,6 +11,7 @@ from verdance.functions import geometry as G
 from verdance.functions import labels as L
 from verdance.functions.indices import BANDS, INDEX_NAMES, VEGETATION_NDVI, with_indices
 from verdance.plans.joins import MAX_BROADCAST_ROWS, salted_join
+from verdance.session import materialise
 
 SCENE_KEYS = ("aoi_id", "scene_id", "scene_date")
 CELL_DEGREES = 0.01
@@ -67,17 +68,30 @@ def band_reduction(
 
 
 def aoi_cells(aoi: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
-    """One row per polygon and grid cell its box touches."""
+    """One row per polygon and grid cell they share.
+
+    ``_core`` marks cells that lie inside the polygon; the others carry the
+    polygon's sides.  Cells are widened a little for both tests, so a pixel
+    that rounding puts beside its cell is still decided by the exact test.
+    """
+    pad = cell * 1e-6
 
     def span(low: str, high: str):
-        return F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
+        return F.sequence(
+            F.floor((F.col(f"_box.{low}") - pad) / cell), F.floor((F.col(f"_box.{high}") + pad) / cell)
+        )
 
+    x, y = F.col("_cx") * cell, F.col("_cy") * cell
+    around = G.box_ring(x - pad, y - pad, x + (cell + pad), y + (cell + pad))
     return (
         aoi.withColumn("_box", G.ring_box(F.col("ring")))
-        .select("*", "_box.*")
         .withColumn("_cx", F.explode(span("min_lon", "max_lon")))
         .withColumn("_cy", F.explode(span("min_lat", "max_lat")))
-        .drop("_box")
+        .withColumn("_around", around)
+        .where(G.rings_intersect(F.col("_around"), F.col("ring")))
+        .withColumn("_core", G.ring_covers(F.col("ring"), F.col("_around")))
+        .withColumn("_sides", F.when(~F.col("_core"), G.ring_sides(F.col("ring"))))
+        .drop("_box", "_around", "ring")
     )
 
 
@@ -92,29 +106,28 @@ def assign_aoi(
     """Spatial join: every pixel with every polygon it lies in or on.
 
     Equi-join on the grid cell (and ``keys``, such as the scene chosen for the
-    polygon), then box and exact test.  The polygons' cells
-    are broadcast while their rows and vertices are within the bounds; beyond
-    them the join is shuffled with salted cells, so that a cell which holds a
-    large share of the pixels is spread over many tasks.
+    polygon); only pixels in cells on a polygon's border need the exact test.
+    The polygons' cells are written once, as they are counted and then joined.
+    They are broadcast while their rows and sides are within
+    the bounds; beyond them the join is shuffled with salted cells, so that a
+    cell which holds a large share of the pixels is spread over many tasks.
     """
-    cells = aoi_cells(aoi, cell)
+    cells = materialise(aoi_cells(aoi, cell), "aoi-cells")
     bound = cells.limit(max_rows + 1).agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(F.size("ring")), F.lit(0)).alias("vertices")
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(F.coalesce(F.size("_sides"), F.lit(0))), F.lit(0)).alias("sides"),
     ).first()
     lon, lat = F.col("lon"), F.col("lat")
     placed = pixels.withColumns(
         {"_cx": F.floor(lon / cell), "_cy": F.floor(lat / cell)}
     )
-    hit = (
-        lon.between(F.col("min_lon"), F.col("max_lon"))
-        & lat.between(F.col("min_lat"), F.col("max_lat"))
-        & G.point_in_ring(lon, lat, F.col("ring"))
-    )
-    if bound["rows"] <= max_rows and bound["vertices"] <= max_vertices:
-        joined = placed.join(F.broadcast(cells), [*keys, "_cx", "_cy"]).where(hit)
+    hit = F.col("_core") | G.in_sides(lon, lat, F.col("_sides"))
+    on = [*keys, "_cx", "_cy"]
+    if bound["rows"] <= max_rows and bound["sides"] <= max_vertices:
+        joined = placed.join(F.broadcast(cells), on).where(hit)
     else:
-        joined = salted_join(placed, cells, [*keys, "_cx", "_cy"], ["lon", "lat"], residual=hit)
-    return joined.drop("_cx", "_cy", "min_lon", "min_lat", "max_lon", "max_lat", "ring")
+        joined = salted_join(placed, cells, on, ["lon", "lat"], residual=hit)
+    return joined.drop("_cx", "_cy", "_core", "_sides")
 
 
 def wide_tiles(tiles: DataFrame) -> DataFrame:

@@ -22,10 +22,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         ("pixels",),
         """
         SELECT aoi_id, scene_date, lon_e4, lat_e4,
-               CASE WHEN red_dn > 0 AND red_dn <= 10000 THEN red_dn / cast(10000 AS double) END AS red,
-               CASE WHEN nir_dn > 0 AND nir_dn <= 10000 THEN nir_dn / cast(10000 AS double) END AS nir,
-               CASE WHEN green_dn > 0 AND green_dn <= 10000 THEN green_dn / cast(10000 AS double) END AS green,
-               CASE WHEN blue_dn > 0 AND blue_dn <= 10000 THEN blue_dn / cast(10000 AS double) END AS blue
+               CASE WHEN red_dn > 0 AND red_dn <= 10000 THEN cast(red_dn AS double) END AS red,
+               CASE WHEN nir_dn > 0 AND nir_dn <= 10000 THEN cast(nir_dn AS double) END AS nir,
+               CASE WHEN green_dn > 0 AND green_dn <= 10000 THEN cast(green_dn AS double) END AS green,
+               CASE WHEN blue_dn > 0 AND blue_dn <= 10000 THEN cast(blue_dn AS double) END AS blue
         FROM pixels
         """,
     ),
@@ -34,9 +34,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT aoi_id, scene_date, lon_e4, lat_e4,
                CASE WHEN nir + red > 0 THEN (nir - red) / (nir + red) END AS ndvi,
-               CASE WHEN nir + cast(6 AS double) * red - cast(7.5 AS double) * blue + cast(1 AS double) > 0
-                    THEN cast(2.5 AS double) * ((nir - red)
-                         / (nir + cast(6 AS double) * red - cast(7.5 AS double) * blue + cast(1 AS double))) END AS evi,
+               CASE WHEN nir + 6 * red - cast(7.5 AS double) * blue + 10000 > 0
+                    THEN cast(2.5 AS double) * ((nir - red) / (nir + 6 * red - cast(7.5 AS double) * blue + 10000))
+               END AS evi,
                CASE WHEN green + nir > 0 THEN (green - nir) / (green + nir) END AS ndwi
         FROM bands
         """,

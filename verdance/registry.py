@@ -1,8 +1,9 @@
 """Every operator as a named query over the driver tables, with its check SQL.
 
 A query's ``columns`` say its output types; the same list shapes the Spark
-result and the SQL.  ``r6`` is a double rounded to six digits: sums differ in
-their last bits between engines.  Values that do not pass through a sum are
+result and the SQL.  ``r6`` and ``r10`` are doubles rounded to so many digits:
+sums differ in their last bits between engines (means of short decimals need ten,
+as they often end in a 5 at the seventh).  Values that do not pass through a sum are
 compared as they are.
 """
 
@@ -19,7 +20,7 @@ from verdance.functions import geometry as G
 from verdance.functions import labels as L
 from verdance.functions.dates import run_stamp
 from verdance.functions.documents import from_document, get_path
-from verdance.functions.indices import with_indices
+from verdance.functions.indices import BANDS, reflectance, with_indices
 from verdance.operators import anomalies as A
 from verdance.operators import climate as CL
 from verdance.operators import correlation as CO
@@ -31,7 +32,7 @@ from verdance.operators import scenes as SC
 from verdance.operators import series as SE
 from verdance.operators import veglog as VL
 from verdance.oracle_views import ROLLING_AS_LOG, VIEWS, Views, with_views
-from verdance.session import shared_dir
+from verdance.session import materialise, shared_dir
 from verdance.sources import driver_tables as D
 from verdance.sources.files import clip_aoi, list_files
 from verdance.streaming import rolling_log as RL
@@ -40,6 +41,8 @@ from verdance.streaming.versions import latest_rows, latest_version, run_availab
 
 Run = Callable[[SparkSession, str], DataFrame]
 
+ROUNDED = {"r6": 6, "r10": 10}
+
 BATCH_AS_OF, BATCH_MONTHS, BATCH_SCENES = "2001-08-01", 72, 8
 RANGE = ("1995-01-01", "2001-08-02")
 MODEL_AS_OF = "2001-06-30"
@@ -64,8 +67,8 @@ class Query:
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         def shaped(name: str, kind: str):
             value = F.col(name)
-            if kind == "r6":
-                return F.round(value.cast("double"), 6).alias(name)
+            if kind in ROUNDED:
+                return F.round(value.cast("double"), ROUNDED[kind]).alias(name)
             return value.cast("string" if kind == "varchar" else kind).alias(name)
 
         return self.run(spark, sf_dir).select(*[shaped(n, k) for n, k in self.fields()])
@@ -75,8 +78,8 @@ class Query:
             return None
 
         def shaped(name: str, kind: str) -> str:
-            if kind == "r6":
-                return f"round(cast({name} AS double), 6) AS {name}"
+            if kind in ROUNDED:
+                return f"round(cast({name} AS double), {ROUNDED[kind]}) AS {name}"
             return f"cast({name} AS {kind}) AS {name}"
 
         columns = ", ".join(shaped(n, k) for n, k in self.fields())
@@ -124,8 +127,8 @@ def _(spark, sf):
 
 @query(
     "pixel_reflectance",
-    f"{_SCENE} band:varchar valid:bigint mean:r6",
-    """SELECT aoi_id, scene_date, band, count(v) AS valid, avg(v) AS mean
+    f"{_SCENE} band:varchar valid:bigint mean:r10",
+    """SELECT aoi_id, scene_date, band, count(v) AS valid, avg(v / 10000) AS mean
        FROM (SELECT aoi_id, scene_date, 'red' AS band, red AS v FROM bands
              UNION ALL SELECT aoi_id, scene_date, 'green', green FROM bands
              UNION ALL SELECT aoi_id, scene_date, 'blue', blue FROM bands
@@ -134,8 +137,6 @@ def _(spark, sf):
     "bands",
 )
 def _(spark, sf):
-    from verdance.functions.indices import BANDS, reflectance
-
     aggregates = []
     for b in BANDS:
         value = reflectance(F.col(f"{b}_dn"))
@@ -213,7 +214,7 @@ def _supplier_diamonds(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark, sf):
     pixels = D.pixels(spark, sf).select("lon", "lat")
-    joined = PX.assign_aoi(pixels, _supplier_diamonds(spark, sf), cell=0.001)
+    joined = PX.assign_aoi(pixels, _supplier_diamonds(spark, sf), cell=0.00025)
     return joined.groupBy("area").agg(F.count("*").alias("pixels"))
 
 
@@ -346,7 +347,7 @@ def _(spark, sf):
 
 @query(
     "trend_events",
-    "aoi_id:bigint n_obs:bigint mean:r6 slope:r6 intercept:r6 r_squared:r6 direction:varchar",
+    "aoi_id:bigint n_obs:bigint mean:r10 slope:r6 intercept:r6 r_squared:r6 direction:varchar",
     """SELECT *, CASE WHEN slope > 0.001 THEN 'improving' WHEN slope < -0.001 THEN 'declining'
                       WHEN slope IS NOT NULL THEN 'stable' END AS direction
        FROM (SELECT aoi_id, count(*) AS n_obs, avg(ndvi_mean) AS mean,
@@ -1035,7 +1036,7 @@ def _(spark, sf):
     rows = FC.training_rows(
         D.veglog(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True
     )
-    return FC.coefficients(spark, FC.fit(rows))
+    return FC.coefficients(spark, FC.fit(materialise(rows, "training-rows")))
 
 
 # --- rolling log and streams -----------------------------------------------------
@@ -1108,7 +1109,7 @@ def _(spark, sf):
 
 @query(
     "period_stats_stream",
-    "period_start:varchar aoi_id:bigint scenes:bigint ndvi_mean:r6 ndvi_min:double ndvi_max:double",
+    "period_start:varchar aoi_id:bigint scenes:bigint ndvi_mean:r10 ndvi_min:double ndvi_max:double",
     """SELECT cast(date '1970-01-01' + cast(31 * (datediff('day', date '1970-01-01', cast(arrived_at AS date)) // 31)
                                             AS integer) AS varchar) AS period_start,
               aoi_id, count(*) AS scenes, avg(ndvi_mean) AS ndvi_mean, min(ndvi_mean) AS ndvi_min,

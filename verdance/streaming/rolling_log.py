@@ -12,7 +12,8 @@ from verdance.operators.anomalies import advanced_analytics, alert_rows
 from verdance.operators.veglog import COLUMNS, ROLLING_ENTRIES, rolling_last
 from verdance.streaming.versions import read_version, write_version
 
-SLOTS = 16
+SLOTS = 64
+SLOT_BITS = 16
 
 
 def advance(batch: DataFrame, batch_id: int, base: str, k: int = ROLLING_ENTRIES) -> None:
@@ -54,7 +55,8 @@ def entering_entries(
 ) -> DataFrame:
     """Entries that enter the last ``k`` of their slot, from state of ``k`` numbers per slot.
 
-    An area is split into slots so that a busy one is shared by tasks.  An
+    Every 2**16 arrivals go to the next slot in turn, so an area that is busy
+    is shared by tasks while a quiet one stays in few slots.  An
     entry among the last ``k`` of its area is among the last ``k`` of its slot
     when it arrives, so ``rolling_last`` over the output is exact.
     """
@@ -69,7 +71,7 @@ def entering_entries(
             yield frame.loc[frame["seq"] >= last[0], columns]
         state.update((last.tolist(),))
 
-    slot = F.pmod(F.xxhash64("seq"), F.lit(slots))
+    slot = F.pmod(F.shiftright("seq", SLOT_BITS), F.lit(slots))
     return (
         entries.select(*columns)
         .withColumn("_slot", slot)
