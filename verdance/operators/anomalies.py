@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from verdance.functions import labels as L
 from verdance.operators.series import (
     BLOCK,
+    EDGE_ROWS,
     MIN_ANOMALY,
+    MIN_SEASONAL,
     _blocked,
-    recent_mean,
-    seasonal_map,
-    series_summary,
     with_series,
 )
 
@@ -42,15 +41,18 @@ HEALTH_ALERT = (
 )
 
 
+def _z_score() -> Column:
+    return F.when(
+        F.col("n_obs") >= MIN_ANOMALY,
+        (F.col("ndvi_mean") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0)),
+    )
+
+
 def with_zscores(log: DataFrame) -> DataFrame:
     """Log rows with the z-score in their area; NULL below four entries or for
     a constant series."""
     scored = with_series(log)
-    z = F.when(
-        F.col("n_obs") >= MIN_ANOMALY,
-        (F.col("ndvi_mean") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0)),
-    )
-    return scored.select(*log.columns, "idx", "n_obs", "mean", "std", z.alias("z_score"))
+    return scored.select(*log.columns, "idx", "n_obs", "mean", "std", _z_score().alias("z_score"))
 
 
 def anomalies(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -58,34 +60,60 @@ def anomalies(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return with_zscores(log).where(F.abs("z_score") > threshold)
 
 
+def _daily(log: DataFrame, threshold: float) -> DataFrame:
+    """One row per area and day with what the analytics need of its entries.
+
+    Entries are merged before the shuffle; what is left per area is bounded by
+    the calendar.
+    """
+    y = F.col("ndvi_mean")
+    is_recent = F.col("idx") >= F.col("n_obs") - EDGE_ROWS
+    return (
+        with_series(log)
+        .groupBy("aoi_id", "date")
+        .agg(
+            *[F.max(c).alias(c) for c in ("n_obs", "mean", "slope", "r_squared")],
+            F.count("*").alias("_n"),
+            F.sum(y).alias("_sum"),
+            F.count_if(F.abs(_z_score()) > threshold).alias("_hits"),
+            F.count_if(is_recent).alias("_recent_n"),
+            F.sum(F.when(is_recent, y)).alias("_recent_sum"),
+        )
+    )
+
+
+def _found(threshold: float) -> list[Column]:
+    """Aggregates over the days of an area: size, baseline, anomalies and their days."""
+    hit = F.when(
+        F.col("_hits") > 0,
+        F.struct(F.date_format("date", "yyyy-MM-dd").alias("day"), F.col("_hits").alias("entries")),
+    )
+    return [
+        F.max("n_obs").alias("n_obs"),
+        F.sum("_hits").alias("total_anomalies"),
+        F.lit(threshold).alias("anomaly_threshold"),
+        F.max("mean").alias("baseline_ndvi"),
+        F.sort_array(F.collect_list(hit)).alias("_days"),
+    ]
+
+
+def _with_days(found: DataFrame) -> DataFrame:
+    return found.withColumns(
+        {
+            "anomaly_dates": F.transform("_days", lambda d: d["day"]),
+            "anomaly_counts": F.transform("_days", lambda d: d["entries"]),
+        }
+    ).drop("_days")
+
+
 def anomaly_summary(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per area with at least four entries: count, baseline and anomaly dates.
 
     ``anomaly_dates`` has each date once, in order, so that it is bounded by
     the calendar; ``anomaly_counts`` gives the entries of each of the dates.
     """
-    per_day = (
-        anomalies(log, threshold).groupBy("aoi_id", "date").agg(F.count("*").alias("entries"))
-    )
-    found = per_day.groupBy("aoi_id").agg(
-        F.sum("entries").alias("total_anomalies"),
-        F.sort_array(F.collect_list(F.struct("date", "entries"))).alias("_days"),
-    )
-    eligible = (
-        log.groupBy("aoi_id")
-        .agg(F.count("*").alias("n_obs"), F.avg("ndvi_mean").alias("baseline_ndvi"))
-        .where(F.col("n_obs") >= MIN_ANOMALY)
-    )
-    days = F.coalesce(F.col("_days"), F.array().cast("array<struct<date:date,entries:bigint>>"))
-    return eligible.join(found, "aoi_id", "left").select(
-        "aoi_id",
-        "n_obs",
-        F.coalesce("total_anomalies", F.lit(0)).cast("bigint").alias("total_anomalies"),
-        F.lit(threshold).alias("anomaly_threshold"),
-        "baseline_ndvi",
-        F.transform(days, lambda d: F.date_format(d["date"], "yyyy-MM-dd")).alias("anomaly_dates"),
-        F.transform(days, lambda d: d["entries"]).alias("anomaly_counts"),
-    )
+    found = _daily(log, threshold).groupBy("aoi_id").agg(*_found(threshold))
+    return _with_days(found.where(F.col("n_obs") >= MIN_ANOMALY))
 
 
 def anomaly_split(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -131,36 +159,52 @@ def alert_list(direction: Column, total_anomalies: Column, current_ndvi: Column)
     return F.filter(kinds, lambda a: a.isNotNull())
 
 
-def advanced_analytics(log: DataFrame) -> DataFrame:
+def _seasonal_map() -> Column:
+    """Mean by calendar month from the days of an area, months without entry left out."""
+    months = []
+    for m in range(1, 13):
+        is_month = F.month("date") == m
+        mean = F.try_divide(
+            F.sum(F.when(is_month, F.col("_sum"))), F.sum(F.when(is_month, F.col("_n")))
+        )
+        months.append(F.struct(F.lit(m).alias("month"), mean.alias("ndvi_mean")))
+    present = F.filter(F.array(*months), lambda m: m["ndvi_mean"].isNotNull())
+    return F.map_from_entries(present)
+
+
+def advanced_analytics(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Trend, anomalies, health and alerts: one row per area.
 
-    All inputs of the join have one row per area and are already distributed
-    by it.
+    The log is read twice, for the blocks and for the entries; all sections
+    are then aggregates of one table of days.
     """
-    summary = series_summary(log).select("aoi_id", "n_obs", "slope", "direction", "r_squared")
-    found = anomaly_summary(log).drop("n_obs")
-    joined = (
-        summary.join(seasonal_map(log), "aoi_id", "left")
-        .join(found, "aoi_id", "left")
-        .join(recent_mean(log), "aoi_id")
+    analytics = _daily(log, threshold).groupBy("aoi_id").agg(
+        *_found(threshold),
+        F.max("slope").alias("trend_slope"),
+        F.max("r_squared").alias("r_squared"),
+        _seasonal_map().alias("_months"),
+        (F.sum("_recent_sum") / F.sum("_recent_n")).alias("current_ndvi"),
     )
-    total = F.coalesce(F.col("total_anomalies"), F.lit(0))
-    return joined.select(
+    n = F.col("n_obs")
+    direction = L.trend_direction(F.col("trend_slope"))
+    return _with_days(analytics).select(
         "aoi_id",
-        F.col("n_obs").alias("data_points_analyzed"),
-        F.col("slope").alias("trend_slope"),
-        F.col("direction").alias("trend_direction"),
+        n.alias("data_points_analyzed"),
+        "trend_slope",
+        direction.alias("trend_direction"),
         "r_squared",
-        "seasonal_pattern",
-        "total_anomalies",
-        "anomaly_threshold",
-        "baseline_ndvi",
-        "anomaly_dates",
-        "anomaly_counts",
-        F.col("recent_ndvi").alias("current_ndvi"),
-        L.current_health(F.col("recent_ndvi")).alias("health_status"),
-        L.confidence(F.col("n_obs")).alias("confidence"),
-        alert_list(F.col("direction"), total, F.col("recent_ndvi")).alias("alerts"),
+        F.when(n >= MIN_SEASONAL, F.col("_months")).alias("seasonal_pattern"),
+        *[
+            F.when(n >= MIN_ANOMALY, F.col(c)).alias(c)
+            for c in (
+                "total_anomalies", "anomaly_threshold", "baseline_ndvi",
+                "anomaly_dates", "anomaly_counts",
+            )
+        ],
+        "current_ndvi",
+        L.current_health(F.col("current_ndvi")).alias("health_status"),
+        L.confidence(n).alias("confidence"),
+        alert_list(direction, F.col("total_anomalies"), F.col("current_ndvi")).alias("alerts"),
     )
 
 

@@ -373,7 +373,7 @@ def _(spark, sf):
     ("numbered", "trends"),
 )
 def _(spark, sf):
-    return SE.trend_line(D.veglog(spark, sf))
+    return SE.trend_line(D.stored_log(spark, sf))
 
 
 @query(
@@ -416,7 +416,7 @@ def _(spark, sf):
     "trends",
 )
 def _(spark, sf):
-    return SE.recent_vs_historical(D.veglog(spark, sf))
+    return SE.recent_vs_historical(D.stored_log(spark, sf))
 
 
 _STATUS_CASE = "CASE WHEN recent_ndvi > 0.3 THEN 'good' WHEN recent_ndvi > 0.2 THEN 'moderate' ELSE 'poor' END"
@@ -431,7 +431,7 @@ _STATUS_CASE = "CASE WHEN recent_ndvi > 0.3 THEN 'good' WHEN recent_ndvi > 0.2 T
     "trends",
 )
 def _(spark, sf):
-    return SE.current_health(D.veglog(spark, sf))
+    return SE.current_health(D.stored_log(spark, sf))
 
 
 _HIST_SQL = """
@@ -448,7 +448,7 @@ _HIST_SQL = """
 
 @query("ndvi_histogram", "aoi_id:bigint bin:int scenes:bigint low:r6 high:r6 mean:r6", _HIST_SQL, "numbered")
 def _(spark, sf):
-    return SE.histogram(D.veglog(spark, sf))
+    return SE.histogram(D.stored_log(spark, sf))
 
 
 @query(
@@ -463,7 +463,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     good = F.coalesce(F.try_element_at("health_distribution", F.lit("Good")), F.lit(0))
-    return SE.vegetation_trends(D.veglog(spark, sf)).select(
+    return SE.vegetation_trends(D.stored_log(spark, sf)).select(
         "aoi_id", "total_scenes", F.col("date_range.start").alias("start_day"),
         "ndvi_stats.mean", "ndvi_stats.std", good.alias("good"),
         "trend.slope", "trend.direction", "comparison.change",
@@ -480,7 +480,7 @@ def _(spark, sf):
     "zscores",
 )
 def _(spark, sf):
-    return A.anomalies(D.veglog(spark, sf))
+    return A.anomalies(D.stored_log(spark, sf))
 
 
 @query(
@@ -494,7 +494,7 @@ def _(spark, sf):
     "zscores",
 )
 def _(spark, sf):
-    found = A.anomaly_summary(D.veglog(spark, sf))
+    found = A.anomaly_summary(D.stored_log(spark, sf))
     return found.withColumn("anomaly_dates", F.array_join("anomaly_dates", ","))
 
 
@@ -507,7 +507,7 @@ def _(spark, sf):
     ("veglog", "zscores"),
 )
 def _(spark, sf):
-    return A.anomaly_split(D.veglog(spark, sf))
+    return A.anomaly_split(D.stored_log(spark, sf))
 
 
 _ALERT = "aoi_id:bigint alert_no:int type:varchar severity:varchar message:varchar recommendation:varchar"
@@ -515,19 +515,19 @@ _ALERT = "aoi_id:bigint alert_no:int type:varchar severity:varchar message:varch
 
 @query("alerts", _ALERT, "SELECT * FROM alerts", "alerts")
 def _(spark, sf):
-    return A.alert_rows(A.advanced_analytics(D.veglog(spark, sf)))
+    return A.alert_rows(A.advanced_analytics(D.stored_log(spark, sf)))
 
 
 @query("alerts_rolling", _ALERT, "SELECT * FROM alerts", "alerts", ROLLING_AS_LOG)
 def _(spark, sf):
     """Alerts from the last twenty entries of each area."""
-    log = VL.rolling_last(D.log_stream(D.table(spark, sf, "events")))
+    log = D.rolling_log(spark, sf)
     return A.alert_rows(A.advanced_analytics(log))
 
 
 @query("alerts_shown", _ALERT, "SELECT * FROM alerts WHERE alert_no <= 3", "alerts", ROLLING_AS_LOG)
 def _(spark, sf):
-    log = VL.rolling_last(D.log_stream(D.table(spark, sf, "events")))
+    log = D.rolling_log(spark, sf)
     return A.alert_rows(A.advanced_analytics(log), shown=3)
 
 
@@ -554,7 +554,7 @@ _ANALYTICS = (
 )
 def _(spark, sf):
     january = F.try_element_at("seasonal_pattern", F.lit(1))
-    return A.advanced_analytics(D.veglog(spark, sf)).withColumns(
+    return A.advanced_analytics(D.stored_log(spark, sf)).withColumns(
         {"january": january, "alert_count": F.size("alerts")}
     )
 
@@ -568,7 +568,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """The envelope through JSON text and back, read with defaults."""
-    document = A.analytics_document(A.advanced_analytics(D.veglog(spark, sf)))
+    document = A.analytics_document(A.advanced_analytics(D.stored_log(spark, sf)))
     text = F.to_json(F.struct("*"))
     back = document.select(from_document(text, document.schema).alias("d"))
     root = F.col("d")
@@ -596,7 +596,7 @@ def _(spark, sf):
     ("alert_flags", "alerts"),
 )
 def _(spark, sf):
-    log = D.veglog(spark, sf)
+    log = D.stored_log(spark, sf)
     return DB.status_row(A.advanced_analytics(log), log)
 
 
@@ -1002,7 +1002,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return FC.training_rows(
-        D.veglog(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True
+        D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True
     )
 
 
@@ -1034,7 +1034,7 @@ _OLS_SQL = """
 def _(spark, sf):
     """Least-squares coefficients over the whole history (the default is 120 days)."""
     rows = FC.training_rows(
-        D.veglog(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True
+        D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True
     )
     return FC.coefficients(spark, FC.fit(materialise(rows, "training-rows")))
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from verdance.functions.climate import heat_stress_index
 from verdance.operators.climate import climate_indices
 from verdance.operators.pixels import scene_stats
-from verdance.operators.veglog import log_entries
+from verdance.operators.veglog import log_entries, rolling_last
+from verdance.session import materialise
 
 SCENE = ("aoi_id", "scene_date")
 
@@ -55,6 +56,17 @@ def veglog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_entries(named.withColumn("seq", F.row_number().over(by_date)))
 
 
+def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``veglog`` as a written table, for analyses that read the log several times:
+    the pixels are then scanned once."""
+    return materialise(veglog(spark, sf_dir), "veglog")
+
+
+def rolling_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last entries of each area of the event log, as a written table."""
+    return materialise(rolling_last(log_stream(table(spark, sf_dir, "events"))), "rolling-log")
+
+
 def log_stream(events: DataFrame) -> DataFrame:
     """Log entries of the event table, batch or stream."""
     ndvi = (cents(F.col("value")) % 10000) / F.lit(10000.0)
@@ -70,7 +82,7 @@ def log_stream(events: DataFrame) -> DataFrame:
 
 
 def climate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order date."""
+    """One row per order date, as a written table (at most a row per calendar day)."""
     days = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_orderdate").cast("date").alias("date"))
@@ -82,7 +94,7 @@ def climate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     temperature = 20 + (F.col("_price") % 2600) / F.lit(100.0)
     rain = F.when(F.col("_cust") % 100 < 30, (F.col("_cust") % 500) / F.lit(100.0)).otherwise(0.0)
-    return days.select(
+    observed = days.select(
         "date",
         temperature.alias("temperature_avg"),
         (temperature + 3.0).alias("temperature_max"),
@@ -91,6 +103,7 @@ def climate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (30 + (F.col("_order") % 6000) / F.lit(100.0)).alias("humidity"),
         heat_stress_index(temperature).alias("heat_stress_index"),
     )
+    return materialise(observed, "climate")
 
 
 def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
