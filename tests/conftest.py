@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         master="local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.debug.maxToStringFields": "1000",
+            "spark.sql.maxMetadataStringLength": "100000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -1,0 +1,169 @@
+"""Climate indices, correlation and regression."""
+
+import datetime as dt
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from verdance import schemas
+from verdance.functions import climate as CF
+from verdance.operators import climate as CL
+from verdance.operators import correlation as CO
+from verdance.operators import forecast as FC
+
+DAYS = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(400)]
+
+
+def climate_of(spark, frame):
+    return spark.createDataFrame(frame)
+
+
+@pytest.fixture
+def observed(spark):
+    rng = np.random.default_rng(2)
+    t = rng.uniform(5, 45, len(DAYS))
+    frame = pd.DataFrame(
+        {"date": DAYS, "temperature": t, "precipitation": rng.choice([0, 0, 0.05, 0.731], len(DAYS)),
+         "humidity": rng.uniform(10, 110, len(DAYS))}
+    )
+    return frame, CL.daily_climate(spark.createDataFrame(frame))
+
+
+def test_daily_rows_and_indices_equal_pandas(observed):
+    frame, daily = observed
+    got = CL.climate_indices(daily).toPandas().sort_values("date").reset_index(drop=True)
+    t = frame["temperature"].to_numpy()
+    assert got["temperature_max"].tolist() == [round(v + 3, 1) for v in t]
+    assert got["temperature_avg"].tolist() == np.round(t, 1).tolist()
+    assert got["heat_stress_index"].tolist() == np.round(np.maximum(0, t - 35), 1).tolist()
+    assert got["humidity"].tolist() == np.round(np.clip(frame["humidity"], 30, 90), 1).tolist()
+    assert np.allclose(got["cumulative_precip"], np.round(frame["precipitation"], 2).cumsum())
+    assert np.allclose(got["growing_degree_days"], np.maximum(0, np.round(t, 1) - 10))
+    risk = (got["temperature_max"] > 40) & (got["precipitation"] < 0.1)
+    assert got["water_stress_risk"].tolist() == risk.astype(int).tolist()
+
+
+def test_summary(observed):
+    _, daily = observed
+    indices = CL.climate_indices(daily)
+    frame, s = indices.toPandas(), CL.climate_summary(indices).first()
+    assert s.total_days == len(DAYS) and s.heat_stress_days == frame["water_stress_risk"].sum()
+    assert s.avg_temperature == round(frame["temperature_avg"].mean(), 1)
+    assert s.growing_degree_days == round(frame["growing_degree_days"].sum(), 1)
+
+
+def test_running_total_by_area(spark):
+    rows = [(a, d, float(i % 7)) for a in ("x", "y") for i, d in enumerate(DAYS)]
+    df = spark.createDataFrame(rows, "aoi_id string, date date, precipitation double")
+    df = df.withColumns({"temperature_avg": F.lit(20.0), "temperature_max": F.lit(41.0)})
+    got = CL.climate_indices(df).toPandas()
+    for _, g in got.groupby("aoi_id"):
+        g = g.sort_values("date")
+        assert g["cumulative_precip"].tolist() == g["precipitation"].cumsum().tolist()
+
+
+@pytest.mark.parametrize("doy,t,h", [(1, 19.115517, 58.795734), (100, 32.0, 40.373871), (182, 44.835543, 60.688432)])
+def test_seasonal_baseline(spark, doy, t, h):
+    day = dt.date(2023, 1, 1) + dt.timedelta(doy - 1)
+    df = spark.createDataFrame([(day, 30.0, 50.0)], "date date, temperature_avg double, humidity double")
+    r = CL.seasonal_baseline(df).first()
+    assert (round(r.expected_temperature, 6), round(r.expected_humidity, 6)) == (t, h)
+    assert r.temperature_departure == pytest.approx(30 - r.expected_temperature)
+
+
+def test_missing_values(spark):
+    df = spark.createDataFrame([(None, None), (50.0, None), (50.0, 0.0), (40.0, 0.0)], "t double, p double")
+    got = df.select(
+        CF.growing_degree_days(F.col("t")).alias("g"),
+        CF.heat_stress_index(F.col("t")).alias("h"),
+        CF.water_stress_risk(F.col("t"), F.col("p")).alias("w"),
+        CF.water_stressed(F.col("t"), F.col("p")).alias("s"),
+    ).collect()
+    assert got[0].g is None and got[0].h is None
+    assert [r.w for r in got] == [0, 0, 1, 0] and [r.s for r in got] == [False, False, True, True]
+
+
+def test_calendar_gaps(spark):
+    df = spark.createDataFrame([(d,) for d in DAYS if d.day not in (3, 4)], "date date")
+    assert {r.date for r in CL.calendar_gaps(df).collect()} == {
+        d for d in DAYS[:-1] if d.day in (3, 4)
+    }
+
+
+NDVI = [0.30, 0.28, 0.10, 0.34]
+
+
+@pytest.fixture
+def four_days(spark):
+    log = spark.createDataFrame(
+        [("a", f"s{i}", DAYS[i], v, "Good", i) for i, v in enumerate(NDVI)], schemas.VEGLOG
+    )
+    climate = spark.createDataFrame(
+        list(zip(DAYS, (30.0, 36.0, 41.0, 28.0), (0.0, 0.2, 0.0, 0.0), (50.0, 60.0, 70.0, 45.0), (0.0, 1.0, 6.0, 0.0))),
+        "date date, temperature_avg double, precipitation double, humidity double, heat_stress_index double",
+    )
+    return log, climate
+
+
+@pytest.mark.parametrize("bounded", [None, True, False])
+def test_hand_case_of_insights(four_days, bounded):
+    insights = CO.climate_insights(CO.climate_join(*four_days, bounded=bounded))
+    r = {x.variable: x for x in CO.correlations(insights).collect()}
+    assert {k: round(v.r, 6) for k, v in r.items()} == {
+        "temperature_avg": -0.915403, "precipitation": 0.156787, "humidity": -0.926287, "heat_stress_index": -0.988010,
+    }
+    assert {x.variable for x in CO.strong_correlations(insights).collect()} == {"temperature_avg", "humidity", "heat_stress_index"}
+    assert r["precipitation"].sign == "positive" and r["humidity"].sign == "negative"
+    s = CO.stress_impact(insights).first()
+    assert [round(v, 6) for v in s[1:]] == [1, 0.1, 0.306667, 0.206667]
+    assert CO.quality_row(insights).first().strong_correlations == 3
+    document = CO.correlation_document(insights).first()
+    assert set(document.strong_relationships) == {"temperature_avg", "humidity", "heat_stress_index"}
+    assert document.date_range.start == "2024-01-01" and document.stress_impact is not None
+
+
+def test_constant_and_missing_pairs(four_days):
+    log, climate = four_days
+    broken = climate.withColumn("precipitation", F.lit(0.0)).withColumn(
+        "humidity", F.when(F.col("date") != DAYS[1], F.col("humidity"))
+    )
+    r = {x.variable: x.r for x in CO.correlations(CO.climate_insights(CO.climate_join(log, broken))).collect()}
+    assert r["precipitation"] is None
+    want = np.corrcoef([0.30, 0.10, 0.34], [50, 70, 45])[0, 1]
+    assert r["humidity"] == pytest.approx(want)
+
+
+def test_absent_columns_and_no_overlap(four_days):
+    log, climate = four_days
+    insights = CO.climate_insights(CO.climate_join(log, climate.drop("heat_stress_index", "humidity")))
+    assert {r.variable for r in CO.correlations(insights).collect()} == {"temperature_avg", "precipitation"}
+    assert "water_stress_periods" not in insights.columns
+    assert CO.climate_insights(CO.climate_join(log, climate.where("false"))).count() == 0
+    assert CO.climate_insights(CO.climate_join(log, climate.where("false")), keys=()).count() == 0
+
+
+def test_duplicate_dates_multiply(four_days):
+    log, climate = four_days
+    joined = CO.climate_join(log, climate.unionByName(climate))
+    assert CO.climate_insights(joined).first().data_points == 8
+
+
+def test_regression_equals_normal_equations(spark):
+    rng = np.random.default_rng(4)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(200)]
+    climate = pd.DataFrame({"date": days, "temperature_avg": rng.uniform(20, 40, 200),
+                            "precipitation": rng.exponential(0.3, 200), "humidity": rng.uniform(30, 90, 200)})
+    log = [("a", f"s{i}", d, float(rng.uniform(0.1, 0.6)), "Good", i) for i, d in enumerate(days)]
+    rows = FC.training_rows(spark.createDataFrame(log, schemas.VEGLOG), spark.createDataFrame(climate), days[169])
+    frame = rows.toPandas()
+    assert frame["date"].min() == days[49] and len(frame) == 121
+    assert frame.set_index("date").loc[days[100], "label"] == pytest.approx(log[130][3])
+    model = FC.fit(rows)
+    x = np.column_stack([frame[FC.MODEL_CONFIG["features"]].to_numpy(), np.ones(len(frame))])
+    want = np.linalg.lstsq(x, frame["label"].to_numpy(), rcond=None)[0]
+    got = [r.coefficient for r in FC.coefficients(spark, model).collect()]
+    assert got == pytest.approx(list(want), abs=1e-8)
+    predicted = FC.predict(model, spark.createDataFrame(climate)).orderBy("date").first()
+    assert predicted.target_date == days[30]
