@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from verdance.functions import labels as L
 from verdance.operators import anomalies as A
+from verdance.operators import correlation as C
 from verdance.operators import series as S
 
 
@@ -44,6 +45,16 @@ def processing_timeline(log: DataFrame) -> DataFrame:
     return log.select("aoi_id", "scene_id", "date", F.lit(1).alias("success"))
 
 
+def climate_panels(insights: DataFrame) -> dict[str, DataFrame]:
+    """Panels of the climate report: correlation bars, stress summary, data quality."""
+    return {
+        "correlations": C.correlations(insights),
+        "stress_impact": C.stress_impact(insights),
+        "overview": C.join_overview(insights),
+        "quality": C.quality_row(insights),
+    }
+
+
 def dashboard_tables(log: DataFrame, analytics: DataFrame | None = None) -> dict[str, DataFrame]:
     """All panels, each a DataFrame that is computed only when it is used."""
     analytics = A.advanced_analytics(log) if analytics is None else analytics

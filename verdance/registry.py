@@ -34,7 +34,7 @@ from verdance.operators import veglog as VL
 from verdance.oracle_views import ROLLING_AS_LOG, VIEWS, Views, with_views
 from verdance.session import materialise, shared_dir
 from verdance.sources import driver_tables as D
-from verdance.sources.files import clip_aoi, list_files
+from verdance.sources.files import clip_aoi, list_files, size_totals
 from verdance.streaming import rolling_log as RL
 from verdance.streaming import scene_results as SR
 from verdance.streaming.versions import latest_rows, latest_version, run_available
@@ -298,6 +298,56 @@ def _(spark, sf):
     return PX.scene_stats(PX.clip(D.pixels(spark, sf)), D.SCENE)
 
 
+_TILE_BANDS = {"red": (10000, 0), "nir": (17000, 300), "green": (7000, 50), "blue": (3000, 20)}
+
+
+def _tile_band(band: str) -> str:
+    factor, base = _TILE_BANDS[band]
+    dn = f"cast(floor(abs(cast(x AS double)) * {factor}) + {base} AS integer)"
+    return f"CASE WHEN vec_id % 5 <> 0 THEN {dn} END" if band == "blue" else dn
+
+
+_TILE_VIEWS: Views = {
+    **VIEWS,
+    "cells": (
+        (),
+        f"""SELECT vec_id AS scene_id, date '2024-01-01' + cast(vec_id % 28 AS integer) AS scene_date,
+                   label AS tile_id, (p - 1) // 8 AS row, (p - 1) % 8 AS col,
+                   55 + (vec_id % 100) / cast(100 AS double) + ((p - 1) % 8 + 0.5) * cast(0.125 AS double) AS lon,
+                   cast(24.5 AS double) + ((p - 1) // 8 + 0.5) * cast(-0.125 AS double) AS lat,
+                   {", ".join(f"{_tile_band(b)} AS {b}_dn" for b in _TILE_BANDS)}
+            FROM (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS p FROM embeddings)""",
+    ),
+    # the band masks of the pixel view, over the tiles' cells
+    "pixels": (("cells",), "SELECT scene_id AS aoi_id, scene_date, 0 AS lon_e4, 0 AS lat_e4, * EXCLUDE (scene_date) FROM cells"),
+}
+
+
+@query(
+    "tile_pixels",
+    'scene_id:bigint scene_date:date tile_id:int row:int col:int lon:double lat:double '
+    "red_dn:int nir_dn:int green_dn:int blue_dn:int",
+    "SELECT * FROM cells",
+    "cells",
+    _TILE_VIEWS,
+)
+def _(spark, sf):
+    return PX.tile_pixels(PX.wide_tiles(D.band_tiles(spark, sf)))
+
+
+@query(
+    "tile_scene_stats",
+    "scene_id:bigint ndvi_mean:r6 ndvi_count:bigint evi_count:bigint ndwi_mean:r6 vegetation_pixels:bigint",
+    "SELECT aoi_id AS scene_id, * EXCLUDE (aoi_id) FROM stats",
+    "stats",
+    _TILE_VIEWS,
+)
+def _(spark, sf):
+    """Statistics of scenes whose bands come as tiles."""
+    cells = PX.tile_pixels(PX.wide_tiles(D.band_tiles(spark, sf)))
+    return PX.scene_stats(cells, ("scene_id", "scene_date"))
+
+
 # --- log and trends --------------------------------------------------------------
 
 
@@ -666,6 +716,27 @@ def _(spark, sf):
     return recent.withColumns({"day": F.to_date("datetime"), "stamp": run_stamp(F.col("datetime"))})
 
 
+@query(
+    "scenes_over_areas",
+    "area:bigint scenes:bigint best_cloud:double",
+    """SELECT s_suppkey AS area, count(*) AS scenes, min(cloud_cover) AS best_cloud
+       FROM suitable JOIN supplier
+         ON (scene_id * 37) % 6000 <= (s_suppkey * 607) % 6000 + 2
+        AND (s_suppkey * 607) % 6000 <= (scene_id * 37) % 6000 + 100
+        AND (scene_id * 53) % 4000 <= (s_suppkey * 911) % 4000 + 2
+        AND (s_suppkey * 911) % 4000 <= (scene_id * 53) % 4000 + 100
+       GROUP BY s_suppkey""",
+    "suitable",
+)
+def _(spark, sf):
+    """Suitable scenes whose footprint meets an area, per area."""
+    found = SC.search_scenes(D.scene_footprints(spark, sf))
+    over = SC.scenes_over_aoi(found, D.supplier_areas(spark, sf))
+    return over.groupBy("area").agg(
+        F.count("*").alias("scenes"), F.min("cloud_cover").alias("best_cloud")
+    )
+
+
 _BEST = """
     SELECT *, cast(datetime AS date) AS day
     FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id, {key} ORDER BY cloud_cover, datetime, scene_id) AS place
@@ -1136,6 +1207,11 @@ def _(spark, sf):
     )
 
 
+@query("result_size", "files:bigint total_kb:r6")
+def _(spark, sf):
+    return size_totals(list_files(spark, sf, "*.parquet"))
+
+
 @query(
     "event_properties",
     "event_id:bigint k:bigint",

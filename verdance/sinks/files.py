@@ -38,9 +38,13 @@ def scene_documents(stats: DataFrame, processed_at: dt.datetime) -> DataFrame:
 
 
 def write_scene_statistics(stats: DataFrame, base: str, processed_at: dt.datetime) -> str:
-    """JSON documents below ``results/statistics``, one folder per scene date."""
+    """JSON documents below ``results/statistics``, one folder per scene date.
+
+    Rows are rebalanced by date first: few files per date, and a date with many
+    scenes is split.
+    """
     path = f"{base}/results/statistics"
-    scene_documents(stats, processed_at).write.mode("append").partitionBy("scene_date").json(path)
+    scene_documents(stats, processed_at).hint("rebalance", "scene_date").write.mode("append").partitionBy("scene_date").json(path)
     return path
 
 

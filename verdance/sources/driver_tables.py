@@ -123,3 +123,59 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("sentinel-2-l2a")
         .alias("collection"),
     )
+
+
+def band_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Band tiles, eight pixels wide, from the embedding vectors; some lack the blue band."""
+    vector = F.col("embedding")
+
+    def band(name: str, factor: int, base: int):
+        dn = F.transform(
+            vector, lambda x: (F.floor(F.abs(x.cast("double")) * factor) + base).cast("int")
+        )
+        return F.struct(F.lit(name).alias("band"), dn.alias("dn"))
+
+    bands = F.array(
+        band("red", 10000, 0), band("nir", 17000, 300), band("green", 7000, 50), band("blue", 3000, 20)
+    )
+    return (
+        table(spark, sf_dir, "embeddings")
+        .select(
+            F.col("vec_id").alias("scene_id"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("vec_id") % 28).cast("int")).alias("scene_date"),
+            F.col("label").alias("tile_id"),
+            F.lit(8).alias("width"),
+            F.floor(F.size(vector) / 8).cast("int").alias("height"),
+            (55 + (F.col("vec_id") % 100) / F.lit(100.0)).alias("x0"),
+            F.lit(24.5).alias("y0"),
+            F.lit(0.125).alias("dx"),
+            F.lit(-0.125).alias("dy"),
+            F.inline(bands),
+        )
+        .where((F.col("band") != "blue") | (F.col("scene_id") % 5 != 0))
+    )
+
+
+def _square(x: Column, y: Column, size: int) -> Column:
+    corners = [(x, y), (x + size, y), (x + size, y + size), (x, y + size), (x, y)]
+    return F.array(
+        *[
+            F.struct((a / F.lit(100.0)).alias("lon"), (b / F.lit(100.0)).alias("lat"))
+            for a, b in corners
+        ]
+    )
+
+
+def scene_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenes with a footprint of one degree."""
+    key = F.col("scene_id")
+    footprint = _square((key * 37) % 6000, (key * 53) % 4000, 100)
+    return scenes(spark, sf_dir).withColumn("footprint", footprint)
+
+
+def supplier_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small square area per supplier."""
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("area"), _square((key * 607) % 6000, (key * 911) % 4000, 2).alias("ring")
+    )
