@@ -26,7 +26,7 @@ def test_hand_case(log_of):
         -0.034762, 0.469167, 0.488238, 0.3475, 0.121861,
     ]
     assert s.direction == "declining"
-    z = [round(r.z_score, 6) for r in A.with_zscores(log).orderBy("idx").collect()]
+    z = [round(r.z_score, 6) for r in A.with_zscores(log).orderBy("date").collect()]
     assert z == [0.594942, 0.430820, 0.512881, 0.348759, 0.266698, 0.184637, 0.102576, -2.441315]
     c = one(series.recent_vs_historical(log))
     assert [round(v, 6) for v in (c.recent_ndvi, c.historical_ndvi, c.change)] == [0.26, 0.41, -0.15]
@@ -111,7 +111,7 @@ def test_hot_area_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(series, "BLOCK_BITS", 4)
     log = _hot_log(spark)
     frame = log.toPandas().sort_values(["aoi_id", "date", "seq"])
-    positions = {(r.aoi_id, r.seq): r.idx for r in series.with_series(log).collect()}
+    positions = {(r.aoi_id, r.seq): r.idx for r in series.with_positions(log).collect()}
     summary = {r.aoi_id: r for r in series.series_summary(log).collect()}
     z = {(r.aoi_id, r.seq): r.z_score for r in A.with_zscores(log).collect()}
     split = {(r.aoi_id, r.seq): r.is_anomaly for r in A.anomaly_split(log).collect()}

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from verdance.functions import labels as L
 from verdance.operators.series import (
     BLOCK,
-    EDGE_ROWS,
     MIN_ANOMALY,
     MIN_SEASONAL,
     _blocked,
-    with_series,
+    log_overview,
+    recent_mean,
+    series_summary,
+    with_area,
 )
+from verdance.session import materialise
 
 # fixed value
 THRESHOLD = 2.0
@@ -48,11 +51,15 @@ def _z_score() -> Column:
     )
 
 
+def _scored(log: DataFrame, overview: DataFrame) -> DataFrame:
+    stats = overview.select("aoi_id", "n_obs", "mean", "std")
+    return with_area(log, stats).withColumn("z_score", _z_score())
+
+
 def with_zscores(log: DataFrame) -> DataFrame:
     """Log rows with the z-score in their area; NULL below four entries or for
     a constant series."""
-    scored = with_series(log)
-    return scored.select(*log.columns, "idx", "n_obs", "mean", "std", _z_score().alias("z_score"))
+    return _scored(log, log_overview(log))
 
 
 def anomalies(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -60,24 +67,21 @@ def anomalies(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return with_zscores(log).where(F.abs("z_score") > threshold)
 
 
-def _daily(log: DataFrame, threshold: float) -> DataFrame:
-    """One row per area and day with what the analytics need of its entries.
+def _daily(log: DataFrame, overview: DataFrame, threshold: float) -> DataFrame:
+    """One row per area and day: entries, their NDVI sum and their anomalies.
 
     Entries are merged before the shuffle; what is left per area is bounded by
     the calendar.
     """
-    y = F.col("ndvi_mean")
-    is_recent = F.col("idx") >= F.col("n_obs") - EDGE_ROWS
     return (
-        with_series(log)
+        _scored(log, overview)
         .groupBy("aoi_id", "date")
         .agg(
-            *[F.max(c).alias(c) for c in ("n_obs", "mean", "slope", "r_squared")],
+            F.max("n_obs").alias("n_obs"),
+            F.max("mean").alias("mean"),
             F.count("*").alias("_n"),
-            F.sum(y).alias("_sum"),
-            F.count_if(F.abs(_z_score()) > threshold).alias("_hits"),
-            F.count_if(is_recent).alias("_recent_n"),
-            F.sum(F.when(is_recent, y)).alias("_recent_sum"),
+            F.sum("ndvi_mean").alias("_sum"),
+            F.count_if(F.abs("z_score") > threshold).alias("_hits"),
         )
     )
 
@@ -112,7 +116,7 @@ def anomaly_summary(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ``anomaly_dates`` has each date once, in order, so that it is bounded by
     the calendar; ``anomaly_counts`` gives the entries of each of the dates.
     """
-    found = _daily(log, threshold).groupBy("aoi_id").agg(*_found(threshold))
+    found = _daily(log, log_overview(log), threshold).groupBy("aoi_id").agg(*_found(threshold))
     return _with_days(found.where(F.col("n_obs") >= MIN_ANOMALY))
 
 
@@ -175,15 +179,19 @@ def _seasonal_map() -> Column:
 def advanced_analytics(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Trend, anomalies, health and alerts: one row per area.
 
-    The log is read twice, for the blocks and for the entries; all sections
-    are then aggregates of one table of days.
+    The per-area trend is written once; it serves the scores of the entries and
+    the result.  Entries are shuffled only for their positions.
     """
-    analytics = _daily(log, threshold).groupBy("aoi_id").agg(
-        *_found(threshold),
-        F.max("slope").alias("trend_slope"),
-        F.max("r_squared").alias("r_squared"),
-        _seasonal_map().alias("_months"),
-        (F.sum("_recent_sum") / F.sum("_recent_n")).alias("current_ndvi"),
+    summary = materialise(
+        series_summary(log).select("aoi_id", "n_obs", "mean", "std", "slope", "r_squared"), "trend"
+    )
+    days = _daily(log, summary, threshold).groupBy("aoi_id").agg(
+        *_found(threshold), _seasonal_map().alias("_months")
+    )
+    analytics = (
+        days.join(summary.select("aoi_id", "slope", "r_squared"), "aoi_id")
+        .join(recent_mean(log), "aoi_id")
+        .withColumnsRenamed({"slope": "trend_slope", "recent_ndvi": "current_ndvi"})
     )
     n = F.col("n_obs")
     direction = L.trend_direction(F.col("trend_slope"))

@@ -6,6 +6,10 @@ log, so positions are formed block-wise (see ``plans.ordering``): a block holds
 the entries of one area and day with the same upper bits of ``seq``, at most
 2**20 as ``seq`` is unique in an area.  The number of blocks of an area is
 bounded by the days of the calendar plus entries / 2**20.
+
+What entries need of their area (mean, deviation, range) is one small row per
+area.  It is written once and joined by ``lookup_join``: broadcast while few,
+salted beyond that, so entries are never gathered by area.
 """
 
 from __future__ import annotations
@@ -15,7 +19,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verdance.functions import labels as L
+from verdance.plans.joins import lookup_join
 from verdance.plans.ordering import block_offsets, first_rows
+from verdance.session import materialise
 
 BLOCK = ["aoi_id", "date", "_block"]
 BLOCK_BITS = 20
@@ -35,12 +41,29 @@ def _blocked(log: DataFrame) -> DataFrame:
 
 def _in_block() -> Column:
     """Position of an entry in its block, from 0."""
-    return F.row_number().over(W.partitionBy(*BLOCK).orderBy("seq", "scene_id")) - 1
+    return F.row_number().over(W.partitionBy(*BLOCK).orderBy("seq")) - 1
 
 
-def _blocks(log: DataFrame) -> DataFrame:
-    """One row per block: moments of NDVI, its product sum with the position in
-    the block, and the number of earlier entries of the area."""
+def log_overview(log: DataFrame) -> DataFrame:
+    """Count, dates and descriptive statistics per area: one hash aggregate."""
+    y = F.col("ndvi_mean")
+    return log.groupBy("aoi_id").agg(
+        F.count("*").alias("n_obs"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.avg(y).alias("mean"),
+        F.min(y).alias("min"),
+        F.max(y).alias("max"),
+        F.stddev_samp(y).alias("std"),
+    )
+
+
+def _position_products(log: DataFrame) -> DataFrame:
+    """Sum over an area's entries of position times NDVI.
+
+    Inside a block the position counts from the block's start; the entries in
+    earlier blocks are added for the block as a whole.
+    """
     y = F.col("ndvi_mean")
     blocks = (
         _blocked(log)
@@ -49,104 +72,75 @@ def _blocks(log: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("_n"),
             F.sum(y).alias("_sum"),
-            F.avg(y).alias("_avg"),
-            (F.var_pop(y) * F.count(y)).alias("_m2"),
             F.sum(F.col("_i") * y).alias("_iy"),
-            F.min(y).alias("_min"),
-            F.max(y).alias("_max"),
         )
     )
-    area = W.partitionBy("aoi_id")
     located = block_offsets(blocks, ["aoi_id"], ["date", "_block"], "_n", "_before")
-    return located.withColumn("_total", F.sum("_n").over(area)).withColumn(
-        "_mean", F.sum("_sum").over(area) / F.col("_total")
+    return located.groupBy("aoi_id").agg(
+        F.sum(F.col("_before") * F.col("_sum") + F.col("_iy")).alias("_xy"),
+        F.sum("_sum").alias("_y"),
     )
 
 
-def _summarise(blocks: DataFrame) -> DataFrame:
+def series_summary(log: DataFrame) -> DataFrame:
+    """One row per area: n, dates, mean, min, max, sample std, trend.
+
+    The trend columns are NULL below three entries, ``r_squared`` also for a
+    constant series.
+    """
     n = F.col("n_obs").cast("double")
-    middle = (F.col("_total") - 1) / 2.0
-    totals = blocks.groupBy("aoi_id").agg(
-        F.sum("_n").alias("n_obs"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
-        F.first("_mean").alias("mean"),
-        F.min("_min").alias("min"),
-        F.max("_max").alias("max"),
-        F.sum(
-            F.col("_m2") + F.col("_n") * (F.col("_avg") - F.col("_mean")) ** 2
-        ).alias("_syy"),
-        F.sum((F.col("_before") - middle) * F.col("_sum") + F.col("_iy")).alias("_sxy"),
-    )
-    varies = F.col("min") < F.col("max")
+    middle = (n - 1) / 2.0
     sxx = n * (n * n - 1) / 12.0
+    sxy = F.col("_xy") - middle * F.col("_y")
+    syy = F.col("std") ** 2 * (n - 1)
+    varies = F.col("min") < F.col("max")
     enough = F.col("n_obs") >= MIN_TREND
     return (
-        totals.withColumn(
-            "std",
-            F.when(
-                F.col("n_obs") > 1, F.when(varies, F.sqrt(F.col("_syy") / (n - 1))).otherwise(0.0)
-            ),
+        log_overview(log)
+        .join(_position_products(log), "aoi_id")
+        .withColumns(
+            {
+                "slope": F.when(enough, F.when(varies, sxy / sxx).otherwise(0.0)),
+                "r_squared": F.when(enough & varies, sxy**2 / (sxx * syy)),
+            }
         )
-        .withColumn("slope", F.when(enough, F.when(varies, F.col("_sxy") / sxx).otherwise(0.0)))
-        .withColumn("intercept", F.col("mean") - F.col("slope") * (n - 1) / 2.0)
-        .withColumn(
-            "r_squared",
-            F.when(enough & varies, F.col("_sxy") ** 2 / (sxx * F.col("_syy"))),
+        .withColumns(
+            {
+                "intercept": F.col("mean") - F.col("slope") * middle,
+                "direction": L.trend_direction(F.col("slope")),
+            }
         )
-        .withColumn("direction", L.trend_direction(F.col("slope")))
-        .drop("_syy", "_sxy")
+        .drop("_xy", "_y")
     )
 
 
-def series_summary(log: DataFrame) -> DataFrame:
-    """One row per area: n, dates, mean, min, max, sample std, trend.
-
-    The trend columns are NULL below three entries, ``r_squared`` also for a
-    constant series.
-    """
-    return _summarise(_blocks(log))
-
-
-def with_series(log: DataFrame) -> DataFrame:
-    """Log rows with their position ``idx`` and the summary of their area.
-
-    The summary travels on the block table, so the entries are joined on their
-    block and a large area stays spread over tasks.
-    """
-    blocks = _blocks(log)
-    profile = blocks.select(*BLOCK, "_before").join(_summarise(blocks), "aoi_id")
+def with_positions(log: DataFrame) -> DataFrame:
+    """Log rows with their position ``idx`` in the area's date order."""
+    counts = _blocked(log).groupBy(*BLOCK).agg(F.count("*").alias("_n"))
+    located = block_offsets(counts, ["aoi_id"], ["date", "_block"], "_n", "_before")
     return (
         _blocked(log)
         .withColumn("_i", _in_block())
-        .join(profile, BLOCK)
+        .join(located.drop("_n"), BLOCK)
         .withColumn("idx", F.col("_before") + F.col("_i"))
         .drop("_before", "_i", "_block")
     )
 
 
+def with_area(rows: DataFrame, per_area: DataFrame) -> DataFrame:
+    """Log rows with a table of one row per area."""
+    return lookup_join(rows, materialise(per_area, "areas"), ["aoi_id"], ["seq"])
+
+
 def trend_line(log: DataFrame) -> DataFrame:
     """Series with the fitted value of each entry (NULL below three entries)."""
-    return with_series(log).select(
+    fits = series_summary(log).select("aoi_id", "slope", "intercept")
+    return with_area(with_positions(log), fits).select(
         "aoi_id", "scene_id", "date", "idx", "ndvi_mean",
         (F.col("intercept") + F.col("slope") * F.col("idx")).alias("fitted"),
     )
 
 
-def log_overview(log: DataFrame) -> DataFrame:
-    """Count, dates and descriptive statistics per area: one hash aggregate."""
-    y = F.col("ndvi_mean")
-    return log.groupBy("aoi_id").agg(
-        F.count("*").alias("n_obs"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
-        F.avg(y).alias("mean"),
-        F.min(y).alias("min"),
-        F.max(y).alias("max"),
-        F.stddev_samp(y).alias("std"),
-    )
-
-
 def health_distribution(log: DataFrame) -> DataFrame:
     """Entries per class and their share of the area's entries in percent."""
     counts = log.groupBy("aoi_id", "vegetation_health").agg(F.count("*").alias("scenes"))
@@ -226,7 +220,7 @@ def histogram(log: DataFrame, bins: int = 10) -> DataFrame:
         .otherwise(F.col("_raw"))
     )
     binned = (
-        with_series(log)
+        with_area(log, log_overview(log).select("aoi_id", "min", "max", "mean"))
         .withColumns({"_low": low, "_high": high})
         .withColumn("_raw", raw)
         .withColumn("bin", settled)

@@ -428,13 +428,12 @@ def _(spark, sf):
 
 @query(
     "log_positions",
-    "aoi_id:bigint seq:bigint date:date idx:bigint n_obs:bigint",
-    """SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY date, seq) - 1 AS idx,
-              count(*) OVER (PARTITION BY aoi_id) AS n_obs FROM log_stream""",
+    "aoi_id:bigint seq:bigint date:date idx:bigint",
+    "SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY date, seq) - 1 AS idx FROM log_stream",
     "log_stream",
 )
 def _(spark, sf):
-    return SE.with_series(D.log_stream(D.table(spark, sf, "events")))
+    return SE.with_positions(D.log_stream(D.table(spark, sf, "events")))
 
 
 @query(
