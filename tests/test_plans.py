@@ -43,7 +43,7 @@ def test_aggregates_combine_before_the_shuffle(spark, name):
     assert "partial_" in plan and "SortAggregate" not in plan
 
 
-@pytest.mark.parametrize("name", ["trend", "trend_line", "advanced_analytics", "log_positions"])
+@pytest.mark.parametrize("name", ["trend", "trend_line", "log_positions"])
 def test_entries_are_ranked_inside_blocks_only(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
     ranked = re.findall(r"Window \[row_number\(\) windowspecdefinition\((.*?), specifiedwindowframe", plan)
@@ -56,7 +56,7 @@ def test_every_window_has_a_key_or_one_row_per_month(spark):
         if "SinglePartition" in plan:
             # one row per month of the calendar, or the final merge of a global aggregate
             assert name in {"climate_indices", "climate_summary", "climate_by_year", "calendar_gaps",
-                            "climate_correlation_overall", "labelled_scenes"} or "climate" in name, name
+                            "climate_correlation_overall", "labelled_scenes", "result_size"} or "climate" in name, name
 
 
 def test_filters_and_columns_reach_the_scan(spark):

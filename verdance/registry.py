@@ -392,7 +392,7 @@ def _(spark, sf):
     "trends",
 )
 def _(spark, sf):
-    return SE.series_summary(D.veglog(spark, sf))
+    return SE.series_summary(D.stored_log(spark, sf))
 
 
 @query(
@@ -662,7 +662,7 @@ def _(spark, sf):
     "trends",
 )
 def _(spark, sf):
-    return DB.report_labels(D.veglog(spark, sf))
+    return DB.report_labels(D.stored_log(spark, sf))
 
 
 @query(
