@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdance.functions import climate as C
@@ -52,6 +52,11 @@ def daily_climate(raw: DataFrame) -> DataFrame:
     )
 
 
+def _exact_sum(name: str) -> Column:
+    """Sum of a daily value, which has few decimals, in any order of the rows alike."""
+    return F.sum(F.col(name).cast("decimal(18,4)")).cast("double")
+
+
 def climate_summary(indices: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Days, mean temperature, totals, and the days flagged as water stress."""
     keys = _keys(indices) if keys is None else list(keys)
@@ -59,10 +64,10 @@ def climate_summary(indices: DataFrame, keys: Sequence[str] | None = None) -> Da
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.count("*").alias("total_days"),
-        C.round_scaled(F.avg("temperature_avg"), 1).alias("avg_temperature"),
-        C.round_scaled(F.sum("precipitation"), 1).alias("total_precipitation"),
+        C.round_scaled(_exact_sum("temperature_avg") / F.count("temperature_avg"), 1).alias("avg_temperature"),
+        C.round_scaled(_exact_sum("precipitation"), 1).alias("total_precipitation"),
         F.sum("water_stress_risk").alias("heat_stress_days"),
-        C.round_scaled(F.sum("growing_degree_days"), 1).alias("growing_degree_days"),
+        C.round_scaled(_exact_sum("growing_degree_days"), 1).alias("growing_degree_days"),
     )
 
 

@@ -397,7 +397,7 @@ def _(spark, sf):
 
 @query(
     "trend_events",
-    "aoi_id:bigint n_obs:bigint mean:r10 slope:r6 intercept:r6 r_squared:r6 direction:varchar",
+    "aoi_id:bigint n_obs:bigint mean:r10 slope:r10 intercept:r10 r_squared:r10 direction:varchar",
     """SELECT *, CASE WHEN slope > 0.001 THEN 'improving' WHEN slope < -0.001 THEN 'declining'
                       WHEN slope IS NOT NULL THEN 'stable' END AS direction
        FROM (SELECT aoi_id, count(*) AS n_obs, avg(ndvi_mean) AS mean,
@@ -900,8 +900,8 @@ def _(spark, sf):
     "first_date:date last_date:date total_days:bigint avg_temperature:double total_precipitation:double "
     "heat_stress_days:bigint growing_degree_days:double",
     """SELECT min(date) AS first_date, max(date) AS last_date, count(*) AS total_days,
-              round_even(avg(temperature_avg) * cast(10 AS double), 0) / 10 AS avg_temperature, round_even(sum(precipitation) * cast(10 AS double), 0) / 10 AS total_precipitation,
-              sum(water_stress_risk) AS heat_stress_days, round_even(sum(growing_degree_days) * cast(10 AS double), 0) / 10 AS growing_degree_days
+              round_even(cast(sum(cast(temperature_avg AS decimal(18,4))) AS double) / count(temperature_avg) * cast(10 AS double), 0) / 10 AS avg_temperature, round_even(cast(sum(cast(precipitation AS decimal(18,4))) AS double) * cast(10 AS double), 0) / 10 AS total_precipitation,
+              sum(water_stress_risk) AS heat_stress_days, round_even(cast(sum(cast(growing_degree_days AS decimal(18,4))) AS double) * cast(10 AS double), 0) / 10 AS growing_degree_days
        FROM climate""",
     "climate",
 )
@@ -912,8 +912,8 @@ def _(spark, sf):
 @query(
     "climate_by_year",
     "year:int total_days:bigint avg_temperature:double total_precipitation:double heat_stress_days:bigint",
-    """SELECT year(date) AS year, count(*) AS total_days, round_even(avg(temperature_avg) * cast(10 AS double), 0) / 10 AS avg_temperature,
-              round_even(sum(precipitation) * cast(10 AS double), 0) / 10 AS total_precipitation, sum(water_stress_risk) AS heat_stress_days
+    """SELECT year(date) AS year, count(*) AS total_days, round_even(cast(sum(cast(temperature_avg AS decimal(18,4))) AS double) / count(temperature_avg) * cast(10 AS double), 0) / 10 AS avg_temperature,
+              round_even(cast(sum(cast(precipitation AS decimal(18,4))) AS double) * cast(10 AS double), 0) / 10 AS total_precipitation, sum(water_stress_risk) AS heat_stress_days
        FROM climate GROUP BY 1""",
     "climate",
 )
