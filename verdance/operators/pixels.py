@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from verdance.functions import geometry as G
 from verdance.functions import labels as L
 from verdance.functions.indices import BANDS, INDEX_NAMES, VEGETATION_NDVI, with_indices
-from verdance.plans.joins import MAX_BROADCAST_ROWS, salted_join
+from verdance.plans.joins import MAX_BROADCAST_ROWS, MAX_BROADCAST_VERTICES, salted_join
 from verdance.session import materialise
 
 SCENE_KEYS = ("aoi_id", "scene_id", "scene_date")
 CELL_DEGREES = 0.01
-MAX_BROADCAST_VERTICES = 2_000_000
 
 
 def clip(pixels: DataFrame, ring: G.Ring = G.CLIP_AOI) -> DataFrame:
