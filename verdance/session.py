@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,19 +29,14 @@ def get_session(app_name: str = "verdance", master: str | None = None, **setting
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the folder every executor can reach.
+    """A fresh path in a folder that the driver and every executor can reach.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``.  A
-    local session that names none gets a temporary folder; a cluster that
-    names none is an error, as a machine-local path would be lost with its
-    executor.
+    The folder is the one the session names in ``spark.checkpoint.dir``, else
+    one below the session's warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="verdance-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
