@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from verdance.llm.jaccard_join import JACCARD_SQL, jaccard_query
 from verdance.llm.rules import RULES_SQL, rules_query
 
 QUERIES = {
+    "op8_ngram_jaccard_join": jaccard_query,
     "op10_quality_rules": rules_query,
 }
 
 ORACLES = {
+    "op8_ngram_jaccard_join": JACCARD_SQL,
     "op10_quality_rules": RULES_SQL,
 }

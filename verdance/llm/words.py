@@ -45,7 +45,7 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
         return words
     k = min(k, len(words))
     n = len(words) - k + 1
-    out = np.full(n, np.uint64(k) * _STEP, np.uint64)
+    out = np.full(n, k, np.uint64) * _STEP
     for i in range(k):
         out = mixed(out + words[i : i + n]) + _STEP
     return out
