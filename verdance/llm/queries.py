@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from verdance.llm.jaccard_join import JACCARD_SQL, jaccard_query
+from verdance.llm.quality_model import quality_query
 from verdance.llm.rules import RULES_SQL, rules_query
+from verdance.llm.secrets import secrets_query
 
 QUERIES = {
+    "op5_secret_scan": secrets_query,
+    "op1_quality_classifier": quality_query,
     "op8_ngram_jaccard_join": jaccard_query,
     "op10_quality_rules": rules_query,
 }
