@@ -105,7 +105,9 @@ def bitmap(elements: np.ndarray) -> bytes:
 
 def elements_of(text: bytes, shingle: int) -> np.ndarray:
     """The document's set, as a sorted array of hashes."""
-    return np.unique(shingle_hashes(word_hashes(text), shingle))
+    found = shingle_hashes(word_hashes(text), shingle)
+    found.sort()
+    return found[np.concatenate(([True], found[1:] != found[:-1]))] if len(found) else found
 
 
 def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
