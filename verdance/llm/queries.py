@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from verdance.llm.decontaminate import decontamination_query
 from verdance.llm.jaccard_join import JACCARD_SQL, jaccard_query
+from verdance.llm.packing import packing_query
 from verdance.llm.quality_model import quality_query
 from verdance.llm.rules import RULES_SQL, rules_query
 from verdance.llm.secrets import secrets_query
 
 QUERIES = {
+    "op2_best_fit_packing": packing_query,
     "op4_benchmark_decontamination": decontamination_query,
     "op5_secret_scan": secrets_query,
     "op1_quality_classifier": quality_query,
