@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdance.llm.words import shingle_hashes, utf8, word_hashes
+from verdance.llm.words import shingle_hashes, small_batches, utf8, word_hashes
 
 GRAM = 3
 #: Share of an item's n-grams that are seeds, the rarest first, and their least number.
@@ -190,6 +190,7 @@ class Aligner:
 
 
 def _seed_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
+    small_batches(docs.sparkSession)
     for items in benchmark_blocks(benchmark):
         yield seeds_of(items, gram_frequencies(docs, items))
 

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdance.llm.words import utf8
+from verdance.llm.words import small_batches, utf8
 
 MAX_TRAIN = 20_000
 BINS = 64
@@ -185,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tre
                 names=["doc_id", "quality", "x"],
             )
 
+    small_batches(docs.sparkSession)
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     usable = usable.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     sample = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_train)
@@ -209,6 +210,7 @@ def score(docs: DataFrame, model: Trees) -> DataFrame:
                 [batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"]
             )
 
+    small_batches(docs.sparkSession)
     rated = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         rate, "doc_id long, score double"
     )
@@ -222,6 +224,7 @@ def keep_good(docs: DataFrame, model: Trees, least: float = 0.5) -> DataFrame:
 
     Scores are joined to nothing: rows pass through one Arrow function.
     """
+    small_batches(docs.sparkSession)
     schema = docs.schema
 
     def sift(batches: Iterator) -> Iterator:

@@ -8,8 +8,10 @@ from verdance.llm.packing import packing_query
 from verdance.llm.quality_model import quality_query
 from verdance.llm.rules import RULES_SQL, rules_query
 from verdance.llm.secrets import secrets_query
+from verdance.llm.token_files import token_query
 
 QUERIES = {
+    "op9_token_files": token_query,
     "op2_best_fit_packing": packing_query,
     "op4_benchmark_decontamination": decontamination_query,
     "op5_secret_scan": secrets_query,

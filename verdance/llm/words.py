@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -56,3 +56,9 @@ def utf8(column) -> list[bytes]:
     import pyarrow as pa
 
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what Arrow functions hold at a time, so that long texts fit beside the JVM."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
