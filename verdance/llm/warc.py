@@ -153,12 +153,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """
     marker = RECORD_END + VERSION + CRLF
     pieces = spark.read.option("lineSep", marker).text(path)
-    whole = F.regexp_replace("value", "\r\n\r\n$", "")
-    body = F.regexp_replace(whole, f"^{VERSION}\r\n", "")
+    body = F.regexp_replace("value", f"^{VERSION}\r\n", "")
     cut = F.locate(RECORD_END, body)
     return pieces.select(
         F.concat(F.lit(VERSION + CRLF), F.substr(body, F.lit(1), cut - 1)).alias("headers"),
-        F.substr(body, cut + 4, F.length(body)).alias("block"),
+        # The last record of a file still has its end mark.
+        F.regexp_replace(F.substr(body, cut + 4, F.length(body)), "\r\n\r\n\\z", "").alias("block"),
     )
 
 
