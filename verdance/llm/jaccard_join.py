@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verdance.llm.components import components
-from verdance.llm.words import WORD, mixed, shingle_hashes, utf8, word_hashes
+from verdance.llm.words import WORD, mixed, shingle_hashes, small_batches, utf8, word_hashes
 from verdance.session import materialise
 
 SHINGLE = 3
@@ -263,6 +263,7 @@ def jaccard_classes(
     links if any of its texts does, and each row gets the component of the class
     of its own set.
     """
+    small_batches(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialise(shingle_sets(plain, shingle, percent), "sets")
     full = sets.where("size > 0 and doc_id is not null")
