@@ -216,7 +216,8 @@ def redact(docs: DataFrame, model: Markov) -> DataFrame:
 
     Overlapping spans become one mask.  Texts without a span are returned as they are.
     """
-    found = find_spans(docs, model)
+    # The given row is one column, so that no name of its own can clash.
+    found = find_spans(docs.select(F.struct("*").alias("_row"), "text"), model)
     nothing = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -233,8 +234,8 @@ def redact(docs: DataFrame, model: Markov) -> DataFrame:
     new = found.withColumn("_masked", F.when(some, masked))
     columns = [
         F.when(some, F.col("_masked")).otherwise(F.col("text")).alias("text") if name == "text"
-        else F.when(some, F.length("_masked").cast(docs.schema[name].dataType)).otherwise(F.col(name)).alias(name) if name == "n_chars"
-        else F.col(name)
+        else F.when(some, F.length("_masked").cast(docs.schema[name].dataType)).otherwise(F.col("_row")[name]).alias(name) if name == "n_chars"
+        else F.col("_row")[name].alias(name)
         for name in docs.columns
     ]
     return new.select(*columns)
