@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from verdance import schemas
 from verdance.functions import geometry as G
 from verdance.functions.dates import iso_date, look_back, run_stamp
-from verdance.jobs import analysis, batch, climate as climate_job, scenes as scenes_job
+from verdance.jobs import analysis, batch, climate as climate_job, dashboard, scenes as scenes_job
 from verdance.operators import anomalies as A
 from verdance.operators import periods as PE
 from verdance.operators import pixels as P
+from verdance.operators.veglog import rolling_last
 from verdance.plans import workflows as WF
 from verdance.sinks import files as K
 from verdance.sources import files as S
@@ -46,13 +47,37 @@ def test_read_aoi(spark, tmp_path):
 
 
 @pytest.mark.parametrize("content", [None, "not json", '{"type": "FeatureCollection", "features": []}'])
-def test_default_aoi(spark, tmp_path, content):
+def test_a_path_without_a_polygon_is_an_error(spark, tmp_path, content):
     path = tmp_path / "aoi.geojson"
     if content is not None:
         path.write_text(content)
-    for source in (str(path), None):
-        row = S.read_aoi(spark, source).first()
-        assert [(p.lon, p.lat) for p in row.ring] == G.DEFAULT_AOI
+    with pytest.raises(Exception):
+        S.read_aoi(spark, str(path)).collect()
+
+
+def test_holes_and_parts(spark, tmp_path):
+    outer, hole = square(0, 0, 3), square(1, 1, 1)
+    parts = {"type": "MultiPolygon", "coordinates": [[square(5, 0, 1)], [square(6, 0, 1)]]}
+    features = [
+        {"type": "Feature", "properties": {"aoi_id": "ringed"}, "geometry": {"type": "Polygon", "coordinates": [outer, hole]}},
+        {"type": "Feature", "properties": {"aoi_id": "parts"}, "geometry": parts},
+        {"type": "Feature", "properties": {"aoi_id": "spot"}, "geometry": {"type": "Point", "coordinates": [1, 2]}},
+    ]
+    path = tmp_path / "aoi.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    aoi = S.read_aoi(spark, str(path))
+    assert sorted((r.aoi_id, len(r.rings)) for r in aoi.collect()) == [("parts", 1), ("parts", 1), ("ringed", 2)]
+    points = [(0.5, 0.5), (1.5, 1.5), (1.0, 1.5), (2.5, 1.5), (6.0, 0.5), (5.5, 0.5), (6.5, 0.5), (8.0, 0.5)]
+    df = spark.createDataFrame(points, "lon double, lat double")
+    for cell in (0.3, 1.0, 10.0):
+        got = sorted((r.aoi_id, r.lon, r.lat) for r in P.assign_aoi(df, aoi, cell=cell).collect())
+        # a point on the hole's side is in; one on the side that two parts share counts once
+        assert got == sorted([("ringed", *p) for p in (points[0], points[2], points[3])] + [("parts", *p) for p in points[4:7]])
+
+
+def test_default_aoi(spark):
+    row = S.read_aoi(spark).first()
+    assert [(p.lon, p.lat) for p in row.ring] == G.DEFAULT_AOI
     assert S.clip_aoi(spark).first().ring[0].lon == 55.742
 
 
@@ -82,12 +107,24 @@ def test_read_log(spark, tmp_path):
         S.read_log(spark, str(path), "a").count()
 
 
-def test_log_round_trip_keeps_last_twenty(spark, tmp_path, log_of):
+def test_area_of_a_log_is_never_missing(spark, tmp_path):
+    """A log as the format has it, without an area: the file's name serves, and results follow."""
+    entries = [{"scene_id": f"s{i}", "date": f"2024-0{i + 1}-01", "ndvi_mean": 0.1 * i, "vegetation_health": "Poor"} for i in range(8)]
+    path = tmp_path / "north.json"
+    path.write_text(json.dumps({"scenes": entries, "last_updated": "x"}))
+    assert {r.aoi_id for r in S.read_log(spark, str(path)).collect()} == {"north"}
+    paths = analysis.main(["--log", str(path), "--out", str(tmp_path / "out")])
+    assert [spark.read.json(p).count() for p in paths] == [1, 1]
+
+
+def test_log_round_trip(spark, tmp_path, log_of):
     log = log_of({"a": [0.01 * i for i in range(30)], "b": [0.5]})
     path = K.write_log(log, str(tmp_path), NOW)
     back = S.read_log(spark, path)
-    assert {r.aoi_id: r["count"] for r in back.groupBy("aoi_id").count().collect()} == {"a": 20, "b": 1}
-    first = back.where("aoi_id = 'a' AND seq = 0").first()
+    assert {r.aoi_id: r["count"] for r in back.groupBy("aoi_id").count().collect()} == {"a": 30, "b": 1}
+    short = S.read_log(spark, K.write_log(rolling_last(log), f"{tmp_path}/short", NOW))
+    assert {r.aoi_id: r["count"] for r in short.groupBy("aoi_id").count().collect()} == {"a": 20, "b": 1}
+    first = short.where("aoi_id = 'a' AND seq = 0").first()
     assert (first.scene_id, first.ndvi_mean) == ("a_10", pytest.approx(0.1))
 
 
@@ -189,8 +226,10 @@ def test_process_scenes(spark, field):
         S.read_scenes(spark, f"{base}/catalog"), spark.read.parquet(f"{base}/pixels"), S.read_aoi(spark, aoi), scene_id="cloudier"
     )
     assert {r.scene_id for r in one.collect()} == {"cloudier"}
-    log = WF.update_log(spark.createDataFrame([], schemas.VEGLOG), stats, 0)
-    assert {(r.aoi_id, r.vegetation_health) for r in log.collect()} == {("west", "Good"), ("east", "Good")}
+    log = WF.update_log(spark.createDataFrame([], schemas.VEGLOG), stats)
+    assert {(r.aoi_id, r.vegetation_health, r.seq) for r in log.collect()} == {("west", "Good", 0), ("east", "Good", 0)}
+    again = WF.update_log(log, stats)
+    assert sorted((r.aoi_id, r.seq) for r in again.collect()) == [("east", 0), ("east", 1), ("west", 0), ("west", 1)]
 
 
 def test_no_scene_is_an_error(spark, field):
@@ -202,8 +241,16 @@ def test_no_scene_is_an_error(spark, field):
 def test_jobs(spark, field, log_of):
     base, aoi = field
     out = str(base / "out")
-    written = scenes_job.main(["--catalog", f"{base}/catalog", "--pixels", f"{base}/pixels", "--aoi", aoi, "--out", out])
-    assert spark.read.json(written).count() == 2
+    run = ["--catalog", f"{base}/catalog", "--pixels", f"{base}/pixels", "--aoi", aoi]
+    assert spark.read.json(scenes_job.main([*run, "--out", out])[0]).count() == 2
+    # scenes, log, analysis: the analysis sees what the scene job appended
+    started = K.write_log(log_of({"west": [0.1, 0.2, 0.3]}), f"{out}/before", NOW)
+    _, whole, recent = scenes_job.main([*run, "--out", f"{out}/chain", "--log", started])
+    seen = {r.aoi_id: r.total_scenes for r in spark.read.json(analysis.main(["--log", whole, "--out", f"{out}/chain"])[0]).collect()}
+    assert seen == {"west": 4, "east": 1}
+    assert S.read_log(spark, recent).count() == 5
+    panels = dashboard.main(["--log", whole, "--out", f"{out}/chain"])
+    assert {p.rsplit("/", 1)[1]: spark.read.parquet(p).count() for p in panels}["status"] == 2
     summary = batch.main(["--catalog", f"{base}/catalog", "--aoi", aoi, "--out", out, "--as-of", "2024-07-31"])
     got = {r.aoi_id: r for r in spark.read.json(summary).collect()}
     assert (got["west"].total_periods, got["west"].successful) == (6, 1) and len(got["east"].results) == 6

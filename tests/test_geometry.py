@@ -11,7 +11,7 @@ from verdance import schemas
 from verdance.functions import geometry as G
 from verdance.operators import pixels as P
 from verdance.operators import scenes as SC
-from verdance.plans.joins import fits, lookup_join, salted_join
+from verdance.plans.joins import fits, lookup_join
 
 L_SHAPE = [(0.0, 0.0), (4.0, 0.0), (4.0, 1.0), (1.0, 1.0), (1.0, 3.0), (0.0, 3.0), (0.0, 0.0)]
 TRIANGLE = [(0.0, 0.0), (3.0, 1.0), (1.0, 4.0), (0.0, 0.0)]
@@ -64,7 +64,7 @@ def _areas(spark):
 @pytest.mark.parametrize("max_rows", [10**6, 0])
 @pytest.mark.parametrize("cell", [0.3, 1.0])
 def test_assign_aoi_equals_brute_force(spark, max_rows, cell):
-    """Both ways, broadcast and salted; the salted one with a hot cell."""
+    """Both ways, broadcast and shuffled; the latter with a hot cell."""
     rows, aoi = _areas(spark)
     rng = random.Random(1)
     points = [(rng.uniform(-1, 4), rng.uniform(-1, 4)) for _ in range(300)] + [(0.5, 0.5 + i * 1e-5) for i in range(200)]
@@ -114,8 +114,32 @@ def test_lookup_joins_agree_on_a_hot_key(spark):
     fact = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
     dim = spark.createDataFrame([(k, k * 10) for k in range(0, 40)] + [(7, 71)], "k bigint, v bigint")
     want = sorted(map(tuple, fact.join(dim, "k").collect()))
-    assert sorted(map(tuple, lookup_join(fact, dim, ["k"], ["id"]).collect())) == want
-    assert sorted(map(tuple, lookup_join(fact, dim, ["k"], ["id"], max_rows=5).collect())) == want
-    left = salted_join(fact, dim, ["k"], ["id"], how="left", salts=8)
-    assert left.count() == fact.join(dim, "k", "left").count()
-    assert fits(dim, 41) and not fits(dim, 40)
+    order = ["k", "id", "v"]
+    assert sorted(map(tuple, lookup_join(fact, dim, ["k"]).select(order).collect())) == want
+    assert sorted(map(tuple, lookup_join(fact, dim, ["k"], max_rows=5).select(order).collect())) == want
+    assert lookup_join(fact, dim, ["k"], "left", max_rows=5).count() == fact.join(dim, "k", "left").count()
+    assert fits(dim, 41) and not fits(dim, 40) and not fits(dim, 41, max_bytes=100)
+
+
+def test_missing_keys_meet(spark):
+    fact = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, x int")
+    dim = spark.createDataFrame([(None, 10), ("a", 20)], "k string, y int")
+    for most in (5, 0):
+        got = lookup_join(fact, dim, ["k"], max_rows=most)
+        assert got.columns == ["k", "x", "y"]
+        assert sorted((r.x, r.y) for r in got.collect()) == [(1, 10), (2, 20)]
+
+
+def test_cells_of_a_large_polygon(spark):
+    """A circle of a degree with 2,000 corners: each border cell has only the sides of its row."""
+    ring = [(math.cos(2 * math.pi * i / 2000), math.sin(2 * math.pi * i / 2000)) for i in range(2000)]
+    aoi = spark.createDataFrame([("disc", 0, ring + ring[:1])], schemas.AOI)
+    cells = P.aoi_cells(aoi, 0.01).cache()
+    border = cells.where("not _core")
+    assert cells.where("_core").count() > 30_000 and 700 < border.count() < 1300
+    assert border.select(F.max(F.size(F.get("_sides", F.lit(0))))).first()[0] < 400
+    rng = random.Random(3)
+    points = [(rng.uniform(-1.1, 1.1), rng.uniform(-1.1, 1.1)) for _ in range(3000)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id int, lon double, lat double")
+    got = {r.id for r in P.assign_aoi(df, aoi, cell=0.01).collect()}
+    assert got == {i for i, (x, y) in enumerate(points) if brute(x, y, ring + ring[:1])}

@@ -12,7 +12,7 @@ from verdance.operators import pixels as P
 from verdance.operators import veglog as VL
 from verdance.streaming import rolling_log as RL
 from verdance.streaming import scene_results as SR
-from verdance.streaming.versions import latest_rows, latest_version, run_available
+from verdance.streaming.versions import latest_rows, latest_version, run_available, write_version
 
 
 def rows_of(df):
@@ -110,3 +110,42 @@ def test_period_statistics(spark, tmp_path):
     batch = SR.period_stats(spark.read.parquet(source)).select(F.col("period.start").alias("period_start"), "aoi_id", "scenes", "ndvi_min")
     assert rows_of(got.select("period_start", "aoi_id", "scenes", "ndvi_min")) == rows_of(batch)
     assert got.agg(F.sum("scenes")).first()[0] == 400
+
+
+def test_an_empty_version_is_the_newest(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.createDataFrame([(i,) for i in range(5)], "x int")
+    write_version(rows, base, 0)
+    write_version(rows.limit(0), base, 1)
+    assert latest_version(spark, base).count() == 0
+
+
+def test_a_new_checkpoint_goes_on_from_the_newest_version(spark, tmp_path, entries):
+    source, arrive = entries
+    out = str(tmp_path / "log")
+    run_available(RL.snapshot_writer(stream(spark, source), out, str(tmp_path / "one")))
+    arrive(5)
+    later = str(tmp_path / "in2")
+    spark.createDataFrame([("new", "n0", dt.date(2024, 5, 1), 0.5, "Good", 900)], schemas.VEGLOG).write.parquet(later)
+    run_available(RL.snapshot_writer(SR.read_stream(spark, later, schemas.VEGLOG), out, str(tmp_path / "two")))
+    latest = latest_version(spark, out)
+    assert latest.where("aoi_id = 'new'").count() == 1 and latest.count() > 20
+
+
+def test_a_version_without_commit_does_not_count(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a")], "x int, k string")
+    write_version(rows, base, 0)
+    spark.createDataFrame([(2, "a")], "x int, k string").write.parquet(f"{base}/v=1")
+    assert latest_version(spark, base).first().x == 1
+    assert latest_rows(spark, base, ["k"]).first().x == 1
+
+
+def test_alerts_of_other_areas_stay(spark, tmp_path, log_of):
+    out = str(tmp_path / "alerts")
+    falling = [0.5, 0.4, 0.3, 0.2, 0.1, 0.05]
+    first, second = log_of({"a": falling}), log_of({"b": falling})
+    RL.advance_alerts(first, 0, out)
+    RL.advance_alerts(second, 1, out)
+    got = latest_version(spark, f"{out}/alerts")
+    assert {r.aoi_id for r in got.collect()} == {"a", "b"}

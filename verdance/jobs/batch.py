@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from verdance.operators.periods import BATCH_MONTHS, BATCH_SCENES, multi_temporal_batch
+from verdance.operators.periods import BATCH_MONTHS, multi_temporal_batch
 from verdance.operators.scenes import scenes_over_aoi
 from verdance.session import get_session
 from verdance.sinks.files import write_batch_summary
@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> str:
     p.add_argument("--out", required=True)
     p.add_argument("--as-of", default=None)
     p.add_argument("--months", type=int, default=BATCH_MONTHS)
-    p.add_argument("--max-scenes", type=int, default=BATCH_SCENES)
+    p.add_argument("--max-scenes", type=int, default=None)
     a = p.parse_args(argv)
     spark = get_session("batch")
     now = dt.datetime.now()

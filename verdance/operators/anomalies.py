@@ -18,6 +18,7 @@ from verdance.operators.series import (
     series_summary,
     with_area,
 )
+from verdance.plans.joins import null_safe_join
 from verdance.session import materialise
 
 # fixed value
@@ -79,7 +80,7 @@ def _daily(log: DataFrame, overview: DataFrame, threshold: float) -> DataFrame:
         .agg(
             F.max("n_obs").alias("n_obs"),
             F.max("mean").alias("mean"),
-            F.count("*").alias("_n"),
+            F.count("ndvi_mean").alias("_n"),
             F.sum("ndvi_mean").alias("_sum"),
             F.count_if(F.abs("z_score") > threshold).alias("_hits"),
         )
@@ -130,9 +131,9 @@ def anomaly_split(log: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         anomalies(log, threshold).select("aoi_id", "date").distinct().withColumn("_hit", F.lit(True))
     )
     blocked = _blocked(log)
-    marked = blocked.select(*BLOCK).distinct().join(days, ["aoi_id", "date"], "left")
+    marked = null_safe_join(blocked.select(*BLOCK).distinct(), days, ["aoi_id", "date"], "left")
     return (
-        blocked.join(marked, BLOCK)
+        null_safe_join(blocked, marked, BLOCK)
         .withColumn("is_anomaly", F.col("_hit").isNotNull())
         .drop("_hit", "_block")
     )
@@ -188,9 +189,9 @@ def advanced_analytics(log: DataFrame, threshold: float = THRESHOLD) -> DataFram
     days = _daily(log, summary, threshold).groupBy("aoi_id").agg(
         *_found(threshold), _seasonal_map().alias("_months")
     )
+    trend = null_safe_join(days, summary.select("aoi_id", "slope", "r_squared"), ["aoi_id"])
     analytics = (
-        days.join(summary.select("aoi_id", "slope", "r_squared"), "aoi_id")
-        .join(recent_mean(log), "aoi_id")
+        null_safe_join(trend, recent_mean(log), ["aoi_id"], "left")
         .withColumnsRenamed({"slope": "trend_slope", "recent_ndvi": "current_ndvi"})
     )
     n = F.col("n_obs")

@@ -21,8 +21,11 @@ def climate_join(log: DataFrame, climate: DataFrame, bounded: bool | None = None
     Duplicate dates multiply rows.  ``bounded=True`` says the climate has one
     row per date, which the calendar bounds; by default it is counted.
     """
-    keys = ["aoi_id", "date"] if "aoi_id" in climate.columns else ["date"]
-    return lookup_join(log, climate, keys, ["aoi_id", "scene_id", "seq"], bounded=bounded)
+    by_area = "aoi_id" in climate.columns
+    if by_area and bounded:
+        raise ValueError("climate by area grows with the areas: its size must be counted")
+    known = climate.where("date is not null")
+    return lookup_join(log, known, ["aoi_id", "date"] if by_area else ["date"], bounded=bounded)
 
 
 def safe_corr(x: Column, y: Column) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from verdance.functions.dates import as_date
 from verdance.operators.correlation import climate_join
-from verdance.plans.joins import salted_join
 
 # fixed values
 MODEL_CONFIG = {
@@ -21,6 +20,8 @@ MODEL_CONFIG = {
     "training_days": 120,
     "horizon_days": 30,
 }
+#: Days that the later NDVI may be off the horizon.
+TOLERANCE_DAYS = 15
 
 
 def training_rows(
@@ -30,24 +31,44 @@ def training_rows(
     training_days: int = MODEL_CONFIG["training_days"],
     horizon_days: int = MODEL_CONFIG["horizon_days"],
     bounded: bool | None = None,
+    tolerance_days: int = TOLERANCE_DAYS,
 ) -> DataFrame:
-    """Climate of a logged day with the NDVI seen ``horizon_days`` later.
+    """Climate of a logged day with the NDVI seen about ``horizon_days`` later.
 
-    The later NDVI is the mean over the area's entries of that day, so an entry
-    is one training row.  Only the days of the training period are joined.
+    The later NDVI is the mean over the area's entries of the day nearest to
+    the horizon, the earlier of two, within the tolerance; an entry is one
+    training row.  Days meet by equality on buckets as long as the tolerance
+    is wide, of which a day has two at most.  Only the days of the training
+    period are joined.
     """
     end = as_date(as_of)
     start = end - dt.timedelta(days=training_days)
     features = log.where(F.col("date").between(F.lit(start), F.lit(end)))
+    last = end + dt.timedelta(days=horizon_days + tolerance_days)
+    width = 2 * tolerance_days + 1
+    day = F.unix_date("date")
     later = (
-        log.where(F.col("date").between(F.lit(start), F.lit(end + dt.timedelta(days=horizon_days))))
-        .groupBy("aoi_id", F.date_sub("date", horizon_days).alias("date"))
-        .agg(F.avg("ndvi_mean").alias("label"))
+        log.where(F.col("date").between(F.lit(start), F.lit(last)) & F.col("ndvi_mean").isNotNull())
+        .groupBy("aoi_id", day.alias("_day"))
+        .agg(F.avg("ndvi_mean").alias("_ndvi"))
+        .withColumn("_bucket", F.floor(F.col("_day") / width))
     )
-    seen = climate_join(features, climate, bounded)
-    return salted_join(seen, later, ["aoi_id", "date"], ["scene_id", "seq"], salts=16).select(
-        "aoi_id", "date", *MODEL_CONFIG["features"], "label"
+    target = day + horizon_days
+    buckets = F.array_distinct(
+        F.array(F.floor((target - tolerance_days) / width), F.floor((target + tolerance_days) / width))
+    )
+    wanted = features.select("aoi_id", "date").distinct().select(
+        "aoi_id", "date", target.alias("_target"), F.explode(buckets).alias("_bucket")
     )
+    off = F.abs(F.col("_day") - F.col("_target"))
+    labels = (
+        wanted.join(later, ["aoi_id", "_bucket"])
+        .where(off <= tolerance_days)
+        .groupBy("aoi_id", "date")
+        .agg(F.min_by("_ndvi", F.struct(off, "_day")).alias("label"))
+    )
+    seen = climate_join(features, climate, bounded)
+    return seen.join(labels, ["aoi_id", "date"]).select("aoi_id", "date", *MODEL_CONFIG["features"], "label")
 
 
 def fit(rows: DataFrame) -> LinearRegressionModel:

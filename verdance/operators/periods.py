@@ -17,7 +17,7 @@ STRIDE_DAYS = 31
 WINDOW_DAYS = 30
 MONTH_DAYS = 30
 BATCH_MONTHS = 6
-BATCH_SCENES = 8
+BATCH_SCENES = 8  # the usual limit, if one is asked for
 NO_SCENE = "No suitable scenes found"
 SEASONS = (
     ("Recent Scene", "2024-07-01", "2024-07-31"),
@@ -54,16 +54,17 @@ def tile_periods(
     tiles = ranges.select(
         *keys,
         F.col(end).alias("_last"),
-        F.size(starts).alias("_n"),
+        F.size(starts).alias("periods_total"),
         F.posexplode(starts).alias("period_idx", "_start"),
     )
-    step, most = _sampling(F.col("_n"), max_periods)
+    step, most = _sampling(F.col("periods_total"), max_periods)
     idx = F.col("period_idx")
     kept = tiles.where((idx % step == 0) & (F.floor(idx / step) < most))
     last = F.least(F.date_add("_start", WINDOW_DAYS), F.col("_last"))
     return kept.select(
         *keys,
         "period_idx",
+        "periods_total",
         (F.floor(idx / step) + 1).cast("int").alias("period_no"),
         F.col("_start").alias("start_date"),
         last.alias("end_date"),
@@ -108,11 +109,12 @@ def multi_temporal_batch(
     aoi: DataFrame,
     as_of: dt.date | str,
     date_range_months: int = BATCH_MONTHS,
-    max_scenes: int = BATCH_SCENES,
+    max_scenes: int | None = None,
 ) -> DataFrame:
     """One row per area and period with the chosen scene, or the reason of failure.
 
-    All periods of all areas are one job.  The periods are generated on the
+    All periods count unless ``max_scenes`` asks for fewer; ``periods_total``
+    says how many there were.  All periods of all areas are one job.  The periods are generated on the
     area rows; scenes meet them by an equality join on (area, period).
     """
     end = as_date(as_of)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from verdance.functions import geometry as G
 from verdance.functions import labels as L
 from verdance.functions.indices import BANDS, INDEX_NAMES, VEGETATION_NDVI, with_indices
-from verdance.plans.joins import MAX_BROADCAST_ROWS, MAX_BROADCAST_VERTICES, salted_join
+from verdance.plans.joins import MAX_BROADCAST_ROWS, fits
 from verdance.session import materialise
 
 SCENE_KEYS = ("aoi_id", "scene_id", "scene_date")
@@ -67,30 +67,61 @@ def band_reduction(
 
 
 def aoi_cells(aoi: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
-    """One row per polygon and grid cell they share.
-
-    ``_core`` marks cells that lie inside the polygon; the others carry the
-    polygon's sides.  Cells are widened a little for both tests, so a pixel
-    that rounding puts beside its cell is still decided by the exact test.
+    """One row per area and grid cell they share.
+
+    An area is all rows of ``aoi`` with the same columns beside ``feature_id``;
+    a row has a ``ring``, or ``rings`` of which inner ones are holes.  ``_core``
+    marks cells that lie inside a polygon; the others carry, per polygon, the
+    sides that touch the cell's row of cells.  These decide alone, as a ray to
+    the east crosses no others.  Polygons are cut into sides, sides are dealt
+    to rows of cells, and each row is filled apart, so a large polygon is
+    shared by tasks.  Rows and cells are widened a little, so a pixel that
+    rounding puts beside its cell is still decided by the sides.
     """
     pad = cell * 1e-6
+    given = [c for c in aoi.columns if c not in ("ring", "rings", "feature_id")]
+    rings = F.col("rings") if "rings" in aoi.columns else F.array("ring")
+
+    def span(low, high):
+        return F.sequence(F.floor((low - pad) / cell), F.floor((high + pad) / cell))
 
-    def span(low: str, high: str):
-        return F.sequence(
-            F.floor((F.col(f"_box.{low}") - pad) / cell), F.floor((F.col(f"_box.{high}") + pad) / cell)
+    sides = aoi.withColumn("_polygon", F.monotonically_increasing_id()).select(
+        F.struct(*given).alias("_area"), "_polygon", F.explode(F.flatten(F.transform(rings, G.ring_sides))).alias("_side")
+    )
+    rows = (
+        sides.withColumn("_cy", F.explode(span(F.col("_side.low"), F.col("_side.high"))))
+        .groupBy("_area", "_polygon", "_cy")
+        .agg(
+            F.collect_list("_side").alias("_sides"),
+            F.min("_side.left").alias("_left"),
+            F.max("_side.right").alias("_right"),
         )
+    )
+    bottom, top = F.col("_cy") * cell - pad, (F.col("_cy") + 1) * cell + pad
+    west, east = F.col("_cx") * cell - pad, (F.col("_cx") + 1) * cell + pad
+
+    def touches(s):
+        low, high = F.greatest(s["low"], bottom), F.least(s["high"], top)
+        # a side that is nearly level is taken whole, as its slope is not exact
+        level = s["high"] - s["low"] < cell * 1e-3
+        at = [
+            F.when(level, x).otherwise(F.least(F.greatest(s["slope"] * y + s["start"], s["left"]), s["right"]))
+            for x, y in ((s["left"], low), (s["right"], high))
+        ]
+        return (F.least(*at) - pad <= east) & (F.greatest(*at) + pad >= west)
 
-    x, y = F.col("_cx") * cell, F.col("_cy") * cell
-    around = G.box_ring(x - pad, y - pad, x + (cell + pad), y + (cell + pad))
+    cells = rows.withColumn("_cx", F.explode(span(F.col("_left"), F.col("_right")))).withColumn(
+        "_border", F.exists("_sides", touches)
+    )
+    centre = G.in_sides((F.col("_cx") + 0.5) * cell, (F.col("_cy") + 0.5) * cell, F.col("_sides"))
     return (
-        aoi.withColumn("_box", G.ring_box(F.col("ring")))
-        .withColumn("_cx", F.explode(span("min_lon", "max_lon")))
-        .withColumn("_cy", F.explode(span("min_lat", "max_lat")))
-        .withColumn("_around", around)
-        .where(G.rings_intersect(F.col("_around"), F.col("ring")))
-        .withColumn("_core", G.ring_covers(F.col("ring"), F.col("_around")))
-        .withColumn("_sides", F.when(~F.col("_core"), G.ring_sides(F.col("ring"))))
-        .drop("_box", "_around", "ring")
+        cells.where(F.col("_border") | centre)
+        .groupBy("_area", "_cx", "_cy")
+        .agg(
+            F.bool_or(~F.col("_border")).alias("_core"),
+            F.collect_list(F.when(F.col("_border"), F.col("_sides"))).alias("_sides"),
+        )
+        .select("_area.*", "_cx", "_cy", "_core", F.when(~F.col("_core"), F.col("_sides")).alias("_sides"))
     )
 
 
@@ -100,32 +131,23 @@ def assign_aoi(
     keys: Sequence[str] = (),
     cell: float = CELL_DEGREES,
     max_rows: int = MAX_BROADCAST_ROWS,
-    max_vertices: int = MAX_BROADCAST_VERTICES,
 ) -> DataFrame:
-    """Spatial join: every pixel with every polygon it lies in or on.
+    """Spatial join: every pixel with every area it lies in or on, once per area.
 
     Equi-join on the grid cell (and ``keys``, such as the scene chosen for the
-    polygon); only pixels in cells on a polygon's border need the exact test.
-    The polygons' cells are written once, as they are counted and then joined.
-    They are broadcast while their rows and sides are within
-    the bounds; beyond them the join is shuffled with salted cells, so that a
-    cell which holds a large share of the pixels is spread over many tasks.
+    area); only pixels in cells on a polygon's border need the exact test.
+    The areas' cells are written once, as they are counted and then joined.
+    They are broadcast while their rows and bytes are within the bounds; beyond
+    them the join is shuffled, and Spark splits cells that hold many pixels.
     """
     cells = materialise(aoi_cells(aoi, cell), "aoi-cells")
-    bound = cells.limit(max_rows + 1).agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.coalesce(F.size("_sides"), F.lit(0))), F.lit(0)).alias("sides"),
-    ).first()
     lon, lat = F.col("lon"), F.col("lat")
     placed = pixels.withColumns(
         {"_cx": F.floor(lon / cell), "_cy": F.floor(lat / cell)}
     )
-    hit = F.col("_core") | G.in_sides(lon, lat, F.col("_sides"))
-    on = [*keys, "_cx", "_cy"]
-    if bound["rows"] <= max_rows and bound["sides"] <= max_vertices:
-        joined = placed.join(F.broadcast(cells), on).where(hit)
-    else:
-        joined = salted_join(placed, cells, on, ["lon", "lat"], residual=hit)
+    inside = F.exists("_sides", lambda sides: G.in_sides(lon, lat, sides))
+    small = F.broadcast(cells) if fits(cells, max_rows) else cells
+    joined = placed.join(small, [*keys, "_cx", "_cy"]).where(F.col("_core") | inside)
     return joined.drop("_cx", "_cy", "_core", "_sides")
 
 
@@ -133,15 +155,18 @@ def wide_tiles(tiles: DataFrame) -> DataFrame:
     """One row per tile with an array column per band.
 
     This shuffles the arrays once on (scene, tile); a table stored in the wide
-    form does not need it.
+    form does not need it.  A band that a tile has twice is an error, as
+    either copy could be meant.
     """
     place = ["scene_id", "scene_date", "tile_id", "width", "height", "x0", "y0", "dx", "dy"]
-    return tiles.groupBy(*place).agg(
-        *[
-            F.first(F.when(F.col("band") == b, F.col("dn")), ignorenulls=True).alias(f"{b}_dn")
-            for b in BANDS
-        ]
-    )
+
+    def band(b: str):
+        one = F.col("band") == b
+        twice = F.concat(F.lit(f"band {b} occurs twice in a tile of scene "), F.col("scene_id").cast("string"))
+        kept = F.first(F.when(one, F.col("dn")), ignorenulls=True)
+        return F.when(F.count_if(one) > 1, F.raise_error(twice).cast("array<int>")).otherwise(kept).alias(f"{b}_dn")
+
+    return tiles.groupBy(*place).agg(*[band(b) for b in BANDS])
 
 
 def tile_pixels(wide: DataFrame) -> DataFrame:

@@ -8,8 +8,13 @@ the entries of one area and day with the same upper bits of ``seq``, at most
 bounded by the days of the calendar plus entries / 2**20.
 
 What entries need of their area (mean, deviation, range) is one small row per
-area.  It is written once and joined by ``lookup_join``: broadcast while few,
-salted beyond that, so entries are never gathered by area.
+area.  It is written once and joined by ``lookup_join``: broadcast while it is
+small, else shuffled with hot areas split.
+
+An entry without NDVI keeps its place in date order, and counts in ``entries``,
+but is no observation: ``n_obs``, the statistics, the trend and the limits on
+the number of observations leave it out.  An entry without a date comes before
+all others.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verdance.functions import labels as L
-from verdance.plans.joins import lookup_join
+from verdance.plans.joins import lookup_join, null_safe_join
 from verdance.plans.ordering import block_offsets, first_rows
 from verdance.session import materialise
 
@@ -48,7 +53,8 @@ def log_overview(log: DataFrame) -> DataFrame:
     """Count, dates and descriptive statistics per area: one hash aggregate."""
     y = F.col("ndvi_mean")
     return log.groupBy("aoi_id").agg(
-        F.count("*").alias("n_obs"),
+        F.count("*").alias("entries"),
+        F.count(y).alias("n_obs"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.avg(y).alias("mean"),
@@ -59,25 +65,31 @@ def log_overview(log: DataFrame) -> DataFrame:
 
 
 def _position_products(log: DataFrame) -> DataFrame:
-    """Sum over an area's entries of position times NDVI.
+    """Sums over an area's observations of position, its square, NDVI and their product.
 
     Inside a block the position counts from the block's start; the entries in
     earlier blocks are added for the block as a whole.
     """
-    y = F.col("ndvi_mean")
+    y, i = F.col("ndvi_mean"), F.when(F.col("ndvi_mean").isNotNull(), F.col("_i")).cast("double")
     blocks = (
         _blocked(log)
         .select(*BLOCK, "ndvi_mean", _in_block().alias("_i"))
         .groupBy(*BLOCK)
         .agg(
             F.count("*").alias("_n"),
-            F.sum(y).alias("_sum"),
-            F.sum(F.col("_i") * y).alias("_iy"),
+            F.count(y).alias("_m"),
+            F.coalesce(F.sum(y), F.lit(0.0)).alias("_sum"),
+            F.coalesce(F.sum(i * y), F.lit(0.0)).alias("_iy"),
+            F.coalesce(F.sum(i), F.lit(0.0)).alias("_ix"),
+            F.coalesce(F.sum(i * i), F.lit(0.0)).alias("_ixx"),
         )
     )
     located = block_offsets(blocks, ["aoi_id"], ["date", "_block"], "_n", "_before")
+    before = F.col("_before").cast("double")
     return located.groupBy("aoi_id").agg(
-        F.sum(F.col("_before") * F.col("_sum") + F.col("_iy")).alias("_xy"),
+        F.sum(before * F.col("_sum") + F.col("_iy")).alias("_xy"),
+        F.sum(before * F.col("_m") + F.col("_ix")).alias("_x"),
+        F.sum(before * before * F.col("_m") + 2 * before * F.col("_ix") + F.col("_ixx")).alias("_xx"),
         F.sum("_sum").alias("_y"),
     )
 
@@ -85,19 +97,18 @@ def _position_products(log: DataFrame) -> DataFrame:
 def series_summary(log: DataFrame) -> DataFrame:
     """One row per area: n, dates, mean, min, max, sample std, trend.
 
-    The trend columns are NULL below three entries, ``r_squared`` also for a
+    The trend columns are NULL below three observations, ``r_squared`` also for a
     constant series.
     """
     n = F.col("n_obs").cast("double")
-    middle = (n - 1) / 2.0
-    sxx = n * (n * n - 1) / 12.0
+    middle = F.try_divide(F.col("_x"), n)
+    sxx = F.col("_xx") - middle * F.col("_x")
     sxy = F.col("_xy") - middle * F.col("_y")
     syy = F.col("std") ** 2 * (n - 1)
     varies = F.col("min") < F.col("max")
     enough = F.col("n_obs") >= MIN_TREND
     return (
-        log_overview(log)
-        .join(_position_products(log), "aoi_id")
+        null_safe_join(log_overview(log), _position_products(log), ["aoi_id"])
         .withColumns(
             {
                 "slope": F.when(enough, F.when(varies, sxy / sxx).otherwise(0.0)),
@@ -110,7 +121,7 @@ def series_summary(log: DataFrame) -> DataFrame:
                 "direction": L.trend_direction(F.col("slope")),
             }
         )
-        .drop("_xy", "_y")
+        .drop("_xy", "_y", "_x", "_xx")
     )
 
 
@@ -118,10 +129,9 @@ def with_positions(log: DataFrame) -> DataFrame:
     """Log rows with their position ``idx`` in the area's date order."""
     counts = _blocked(log).groupBy(*BLOCK).agg(F.count("*").alias("_n"))
     located = block_offsets(counts, ["aoi_id"], ["date", "_block"], "_n", "_before")
+    ranked = _blocked(log).withColumn("_i", _in_block())
     return (
-        _blocked(log)
-        .withColumn("_i", _in_block())
-        .join(located.drop("_n"), BLOCK)
+        null_safe_join(ranked, located.drop("_n"), BLOCK)
         .withColumn("idx", F.col("_before") + F.col("_i"))
         .drop("_before", "_i", "_block")
     )
@@ -129,11 +139,11 @@ def with_positions(log: DataFrame) -> DataFrame:
 
 def with_area(rows: DataFrame, per_area: DataFrame) -> DataFrame:
     """Log rows with a table of one row per area."""
-    return lookup_join(rows, materialise(per_area, "areas"), ["aoi_id"], ["seq"])
+    return lookup_join(rows, materialise(per_area, "areas"), ["aoi_id"])
 
 
 def trend_line(log: DataFrame) -> DataFrame:
-    """Series with the fitted value of each entry (NULL below three entries)."""
+    """Series with the fitted value of each entry (NULL below three observations)."""
     fits = series_summary(log).select("aoi_id", "slope", "intercept")
     return with_area(with_positions(log), fits).select(
         "aoi_id", "scene_id", "date", "idx", "ndvi_mean",
@@ -150,29 +160,30 @@ def health_distribution(log: DataFrame) -> DataFrame:
 
 def _edge_mean(log: DataFrame, newest: bool, name: str) -> DataFrame:
     order = [F.col(c).desc() if newest else F.col(c).asc() for c in ("date", "seq")]
-    rows = first_rows(log.select("aoi_id", "date", "seq", "ndvi_mean"), ["aoi_id"], order, EDGE_ROWS)
+    observed = log.where("ndvi_mean is not null").select("aoi_id", "date", "seq", "ndvi_mean")
+    rows = first_rows(observed, ["aoi_id"], order, EDGE_ROWS)
     return rows.groupBy("aoi_id").agg(F.avg("ndvi_mean").alias(name))
 
 
 def recent_mean(log: DataFrame) -> DataFrame:
-    """Mean of the last three entries of each area, fewer if it has fewer."""
+    """Mean of the last three observations of each area, fewer if it has fewer."""
     return _edge_mean(log, True, "recent_ndvi")
 
 
 def recent_vs_historical(log: DataFrame) -> DataFrame:
-    """Last three against first three entries; areas with at least six."""
-    counts = log.groupBy("aoi_id").agg(F.count("*").alias("n_obs"))
+    """Last three against first three observations; areas with at least six."""
+    counts = log.groupBy("aoi_id").agg(F.count("ndvi_mean").alias("n_obs"))
+    enough = null_safe_join(counts.where(F.col("n_obs") >= MIN_COMPARISON), recent_mean(log), ["aoi_id"])
     return (
-        counts.where(F.col("n_obs") >= MIN_COMPARISON)
-        .join(recent_mean(log), "aoi_id")
-        .join(_edge_mean(log, False, "historical_ndvi"), "aoi_id")
+        null_safe_join(enough, _edge_mean(log, False, "historical_ndvi"), ["aoi_id"])
         .withColumn("change", F.col("recent_ndvi") - F.col("historical_ndvi"))
     )
 
 
 def seasonal_pattern(log: DataFrame, min_rows: int = MIN_SEASONAL) -> DataFrame:
-    """Mean NDVI by calendar month over all years, for areas with enough entries."""
-    monthly = log.groupBy("aoi_id", F.month("date").alias("month")).agg(
+    """Mean NDVI by calendar month over all years, for areas with enough dated observations."""
+    dated = log.where("date is not null and ndvi_mean is not null")
+    monthly = dated.groupBy("aoi_id", F.month("date").alias("month")).agg(
         F.avg("ndvi_mean").alias("ndvi_mean"), F.count("*").alias("scenes")
     )
     total = F.sum("scenes").over(W.partitionBy("aoi_id"))
@@ -189,9 +200,9 @@ def seasonal_map(log: DataFrame, min_rows: int = MIN_SEASONAL) -> DataFrame:
 
 
 def current_health(log: DataFrame) -> DataFrame:
-    """Health of the last three entries and the confidence by number of entries."""
-    counts = log.groupBy("aoi_id").agg(F.count("*").alias("n_obs"))
-    return counts.join(recent_mean(log), "aoi_id").select(
+    """Health of the last three observations and the confidence by their number."""
+    counts = log.groupBy("aoi_id").agg(F.count("ndvi_mean").alias("n_obs"))
+    return null_safe_join(counts, recent_mean(log), ["aoi_id"], "left").select(
         "aoi_id",
         "n_obs",
         F.col("recent_ndvi").alias("current_ndvi"),
@@ -220,7 +231,7 @@ def histogram(log: DataFrame, bins: int = 10) -> DataFrame:
         .otherwise(F.col("_raw"))
     )
     binned = (
-        with_area(log, log_overview(log).select("aoi_id", "min", "max", "mean"))
+        with_area(log.where(y.isNotNull()), log_overview(log).select("aoi_id", "min", "max", "mean"))
         .withColumns({"_low": low, "_high": high})
         .withColumn("_raw", raw)
         .withColumn("bin", settled)
@@ -236,7 +247,7 @@ def histogram(log: DataFrame, bins: int = 10) -> DataFrame:
 def vegetation_trends(log: DataFrame) -> DataFrame:
     """The trend report: one row per area, optional sections NULL when too short."""
     summary = series_summary(log)
-    classes = health_distribution(log).groupBy("aoi_id").agg(
+    classes = health_distribution(log.where("vegetation_health is not null")).groupBy("aoi_id").agg(
         F.map_from_entries(
             F.collect_list(F.struct("vegetation_health", "scenes"))
         ).alias("health_distribution")
@@ -244,12 +255,12 @@ def vegetation_trends(log: DataFrame) -> DataFrame:
     comparison = recent_vs_historical(log).select(
         "aoi_id", F.struct("recent_ndvi", "historical_ndvi", "change").alias("comparison")
     )
+    with_classes = null_safe_join(summary, classes, ["aoi_id"], "left")
     return (
-        summary.join(classes, "aoi_id", "left")
-        .join(comparison, "aoi_id", "left")
+        null_safe_join(with_classes, comparison, ["aoi_id"], "left")
         .select(
             "aoi_id",
-            F.col("n_obs").alias("total_scenes"),
+            F.col("entries").alias("total_scenes"),
             F.struct(
                 F.date_format("first_date", "yyyy-MM-dd").alias("start"),
                 F.date_format("last_date", "yyyy-MM-dd").alias("end"),

@@ -32,15 +32,19 @@ def running_sum(
     value: str,
     out: str,
 ) -> DataFrame:
-    """Running sum of ``value`` in the order of ``block`` then ``order``."""
+    """Running sum of ``value`` in the order of ``block`` then ``order``.
+
+    A missing value adds nothing, and its own running sum is missing.
+    """
     cells = [*keys, *block]
-    totals = df.groupBy(*cells).agg(F.sum(value).alias("_total"))
+    zero = F.lit(0).cast(df.schema[value].dataType)
+    totals = df.groupBy(*cells).agg(F.coalesce(F.sum(value), zero).alias("_total"))
     offsets = block_offsets(totals, keys, block, "_total", "_offset").drop("_total")
     local = W.partitionBy(*cells).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
         df.withColumn("_local", F.sum(value).over(local))
         .join(offsets, cells)
-        .withColumn(out, F.col("_offset") + F.col("_local"))
+        .withColumn(out, F.when(F.col(value).isNotNull(), F.col("_offset") + F.col("_local")))
         .drop("_offset", "_local")
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verdance.functions.dates import CLIMATE_DAYS, look_back
@@ -39,7 +40,7 @@ def choose_scenes(
     best = scenes.best_scenes(over, ["aoi_id"]).select(
         "aoi_id", "scene_id", F.to_date("datetime").alias("scene_date")
     )
-    return best.join(aoi.select("aoi_id", "ring"), "aoi_id")
+    return best.join(aoi.select("aoi_id", *[c for c in ("ring", "rings") if c in aoi.columns]), "aoi_id")
 
 
 def process_scenes(
@@ -67,7 +68,8 @@ def process_scenes(
 
 
 def analyze_log(log: DataFrame) -> dict[str, DataFrame]:
-    """Trend report and analytics of one log."""
+    """Trend report and analytics of one log, which is read once and stored."""
+    log = materialise(log, "log")
     return {
         "trends": series.vegetation_trends(log),
         "analytics": anomalies.advanced_analytics(log),
@@ -87,7 +89,10 @@ def climate_correlation(log: DataFrame, daily: DataFrame, bounded: bool | None =
     return correlation.climate_insights(correlation.climate_join(log, daily, bounded))
 
 
-def update_log(log: DataFrame, stats: DataFrame, arrived: int) -> DataFrame:
-    """The rolling log after appending scene results that arrived at position ``arrived``."""
-    entries = veglog.log_entries(stats, F.lit(arrived))
-    return veglog.rolling_last(veglog.append(log, entries))
+def update_log(log: DataFrame, stats: DataFrame) -> DataFrame:
+    """The whole log after scene results, which follow each area's last entry by date and id."""
+    last = log.groupBy("aoi_id").agg(F.max("seq").alias("_last"))
+    order = W.partitionBy("aoi_id").orderBy("scene_date", "scene_id")
+    placed = stats.withColumn("_place", F.row_number().over(order)).join(last, "aoi_id", "left")
+    seq = F.coalesce(F.col("_last"), F.lit(-1)) + F.col("_place")
+    return veglog.append(log, veglog.log_entries(placed, seq))

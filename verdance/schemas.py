@@ -30,10 +30,8 @@ GEOJSON = T.StructType(
                             T.StructType(
                                 [
                                     T.StructField("type", T.StringType()),
-                                    T.StructField(
-                                        "coordinates",
-                                        T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))),
-                                    ),
+                                    # JSON text, as its depth depends on the type
+                                    T.StructField("coordinates", T.StringType()),
                                 ]
                             ),
                         ),

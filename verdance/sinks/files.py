@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from verdance.functions import labels as L
 from verdance.functions.indices import processed_indices
 from verdance.operators.pixels import statistics_map
-from verdance.operators.veglog import rolling_last
 from verdance.schemas import CLIMATE
 
+# fixed values: texts and folders of the stored results
 DATA_SIZE = "Small AOI (1km²)"
 
 
@@ -49,7 +49,11 @@ def write_scene_statistics(stats: DataFrame, base: str, processed_at: dt.datetim
 
 
 def write_log(log: DataFrame, base: str, updated_at: dt.datetime) -> str:
-    """One document per area with its last entries in arrival order, at a new versioned path."""
+    """One document per area with all its entries in arrival order, at a new versioned path.
+
+    An area's entries are one document, as readers of the format expect; pass
+    ``rolling_last(log)`` for the short form.
+    """
     path = f"{base}/time_series/vegetation_log_{_stamp(updated_at)}"
     entry = F.struct(
         "seq",
@@ -58,7 +62,7 @@ def write_log(log: DataFrame, base: str, updated_at: dt.datetime) -> str:
         "ndvi_mean",
         "vegetation_health",
     )
-    documents = rolling_last(log).groupBy("aoi_id").agg(F.sort_array(F.collect_list(entry)).alias("scenes"))
+    documents = log.groupBy("aoi_id").agg(F.sort_array(F.collect_list(entry)).alias("scenes"))
     documents.select(
         "aoi_id",
         F.transform("scenes", lambda s: s.dropFields("seq")).alias("scenes"),

@@ -10,22 +10,36 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from verdance.operators.anomalies import advanced_analytics, alert_rows
 from verdance.operators.veglog import COLUMNS, ROLLING_ENTRIES, rolling_last
-from verdance.streaming.versions import read_version, write_version
+from verdance.streaming.versions import write_next
 
 SLOTS = 64
 SLOT_BITS = 16
 
 
-def advance(batch: DataFrame, batch_id: int, base: str, k: int = ROLLING_ENTRIES) -> None:
-    """Snapshot of this batch: the previous snapshot and the batch, cut to ``k`` per area.
+def advance(batch: DataFrame, batch_id: int, base: str, k: int = ROLLING_ENTRIES) -> DataFrame:
+    """Snapshot of this batch: the newest snapshot and the batch, cut to ``k`` per area.
 
     The cut is applied before the shuffle, so an area that owns much of the
     batch sends at most ``k`` rows per task.
     """
     entries = batch.select(*COLUMNS)
-    if batch_id > 0:
-        entries = read_version(batch.sparkSession, base, batch_id - 1).unionByName(entries)
-    write_version(rolling_last(entries, k), base, batch_id)
+
+    def snapshot(before: DataFrame | None) -> DataFrame:
+        return rolling_last(entries if before is None else before.unionByName(entries), k)
+
+    return write_next(batch.sparkSession, base, batch_id, snapshot)
+
+
+def advance_alerts(batch: DataFrame, batch_id: int, base: str) -> DataFrame:
+    """Alerts after this batch: anew for its areas, as before for the others."""
+    log = advance(batch, batch_id, f"{base}/log")
+    changed = batch.select("aoi_id").distinct()
+    found = alert_rows(advanced_analytics(log.join(changed, "aoi_id", "left_semi")))
+
+    def alerts(before: DataFrame | None) -> DataFrame:
+        return found if before is None else before.join(changed, "aoi_id", "left_anti").unionByName(found)
+
+    return write_next(batch.sparkSession, f"{base}/alerts", batch_id, alerts)
 
 
 def snapshot_writer(
@@ -43,9 +57,9 @@ def alert_writer(entries: DataFrame, base: str, checkpoint: str) -> DataStreamWr
     """Stream that keeps the snapshot and the alerts that follow from it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        advance(batch, batch_id, f"{base}/log", ROLLING_ENTRIES)
-        log = read_version(batch.sparkSession, f"{base}/log", batch_id)
-        write_version(alert_rows(advanced_analytics(log)), f"{base}/alerts", batch_id)
+        batch.persist()
+        advance_alerts(batch, batch_id, base)
+        batch.unpersist()
 
     return entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
 

@@ -1,37 +1,77 @@
 """Result tables that grow by one version per micro-batch.
 
-A version is written under its batch id, so a replayed batch replaces its own
-output and nothing else.
+Data lie in ``v=<number>``, and a version counts once its row in ``_commits``
+is written.  The row names the streaming query and its batch: a replayed batch
+replaces its own version, and a query with a new checkpoint goes on from the
+newest version of the old one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdance.plans.ordering import first_rows
 
+COMMIT = "v long, run string, batch long"
+
+
+def running_query(spark: SparkSession) -> str:
+    """The id of the streaming query whose batch is being written; it is kept in its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def commits(spark: SparkSession, base: str) -> list:
+    """One row per version, in order."""
+    try:
+        return spark.read.schema(COMMIT).parquet(f"{base}/_commits/*").distinct().orderBy("v").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def write_next(
+    spark: SparkSession, base: str, batch_id: int, make: Callable[[DataFrame | None], DataFrame]
+) -> DataFrame:
+    """Writes the version that ``make`` forms from the newest one before it."""
+    run, done = running_query(spark), commits(spark, base)
+    own = [c.v for c in done if (c.run, c.batch) == (run, batch_id)]
+    number = own[0] if own else max([c.v for c in done], default=-1) + 1
+    before = max([c.v for c in done if c.v < number], default=None)
+    made = make(None if before is None else read_version(spark, base, before))
+    made.write.mode("overwrite").parquet(f"{base}/v={number}")
+    if not own:
+        row = spark.createDataFrame([(number, run, batch_id)], COMMIT)
+        row.coalesce(1).write.parquet(f"{base}/_commits/{uuid.uuid4().hex}")
+    return read_version(spark, base, number)
+
 
 def write_version(df: DataFrame, base: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{base}/v={batch_id}")
+    write_next(df.sparkSession, base, batch_id, lambda _: df)
 
 
-def read_version(spark: SparkSession, base: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(f"{base}/v={batch_id}")
+def read_version(spark: SparkSession, base: str, number: int) -> DataFrame:
+    return spark.read.parquet(f"{base}/v={number}")
 
 
 def latest_version(spark: SparkSession, base: str) -> DataFrame:
-    """The whole of the newest version."""
-    versions = spark.read.parquet(base)
-    newest = versions.agg(F.max("v")).first()[0]
-    return versions.drop("v") if newest is None else read_version(spark, base, newest)
+    """The whole of the newest committed version, be it empty."""
+    done = commits(spark, base)
+    if not done:
+        raise LookupError(f"no version in {base}")
+    return read_version(spark, base, done[-1].v)
 
 
 def latest_rows(spark: SparkSession, base: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row of each key over all versions (versions hold changed keys only)."""
-    return first_rows(spark.read.parquet(base), keys, [F.col("v").desc()], 1).drop("v")
+    """The newest row of each key over all committed versions (versions hold changed keys only)."""
+    numbers = [c.v for c in commits(spark, base)]
+    rows = spark.read.parquet(base).where(F.col("v").isin(numbers))
+    return first_rows(rows, keys, [F.col("v").desc()], 1).drop("v")
 
 
 def run_available(writer) -> None:
