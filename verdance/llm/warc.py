@@ -29,19 +29,21 @@ DROPPED = r"(?is)<(script|style|noscript|template|svg)\b[^>]*>.*?</(script|style
 COMMENT = r"(?s)<!--.*?-->"
 BLOCK_TAG = rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>"
 TAG = r"<[/!?a-zA-Z][^>]*>"
+#: Runs of white space but for a single space, which is left as it is.
+SPACES = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
 
 
 def plain_text(html: Column) -> Column:
     """Visible text: a line per block element, single spaces, no empty lines."""
     text = F.regexp_replace(html, DROPPED, " ")
     text = F.regexp_replace(text, COMMENT, " ")
-    text = F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")
+    text = F.regexp_replace(text, SPACES, " ")
     text = F.regexp_replace(text, BLOCK_TAG, "\n")
     text = F.regexp_replace(text, TAG, "")
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
     text = F.regexp_replace(text, " *\n[ \n]*", "\n")
-    text = F.regexp_replace(text, " +", " ")
+    text = F.regexp_replace(text, " {2,}", " ")
     return F.regexp_replace(text, "^[ \n]+|[ \n]+$", "")
 
 
@@ -196,11 +198,11 @@ def _uuid_sql(kind: str, *parts: str) -> str:
 def _plain_sql(html: str) -> str:
     quote = lambda t: t.replace("'", "''")
     text = html
-    for pattern, by in ((DROPPED, " "), (COMMENT, " "), (r"[\x20\x09-\x0D]+", " "), (BLOCK_TAG, "\n"), (TAG, "")):
+    for pattern, by in ((DROPPED, " "), (COMMENT, " "), (SPACES, " "), (BLOCK_TAG, "\n"), (TAG, "")):
         text = f"regexp_replace({text}, '{quote(pattern)}', '{by}', 'g')"
     for entity, char in ENTITIES.items():
         text = f"replace({text}, '{quote(entity)}', '{quote(char)}')"
-    for pattern, by in ((" *\n[ \n]*", "\n"), (" +", " "), ("^[ \n]+|[ \n]+$", "")):
+    for pattern, by in ((" *\n[ \n]*", "\n"), (" {2,}", " "), ("^[ \n]+|[ \n]+$", "")):
         text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
     return text
 
