@@ -9,7 +9,14 @@ import pytest
 from tests.conftest import SMALL
 from verdance.registry import QUERIES
 
-STREAMS = {n for n in QUERIES if n.endswith(("_stream", "_state"))}
+STREAMS = {n for n in QUERIES if n.endswith(("_stream", "_state", "_late"))}
+
+
+# running totals over the days of the calendar, and final merges of global aggregates
+CALENDAR = {"climate_indices", "climate_gaps", "climate_by_year", "calendar_gaps", "climate_stored",
+            "climate_correlation", "strong_correlations", "stress_impact", "join_overview", "quality_row",
+            "ndvi_training_rows", "ndvi_training_rows_nearest", "seasonal_baseline", "daily_climate"}
+MERGED = {"climate_summary", "climate_correlation_overall"}
 
 
 def plan_of(df):
@@ -53,10 +60,11 @@ def test_entries_are_ranked_inside_blocks_only(spark, name):
 def test_every_window_has_a_key_or_one_row_per_month(spark):
     for name in sorted(set(QUERIES) - STREAMS - {"ndvi_regression"}):
         plan = plan_of(QUERIES[name](spark, SMALL))
+        for keys in re.findall(r"Window \[.*?\], \[(.*?)\](?:, \[(?:.*?)\])?\n", plan):
+            # without a key there is one row per month of the calendar
+            assert "#" in keys, (name, keys)
         if "SinglePartition" in plan:
-            # one row per month of the calendar, or the final merge of a global aggregate
-            assert name in {"climate_indices", "climate_summary", "climate_by_year", "calendar_gaps",
-                            "climate_correlation_overall", "labelled_scenes", "result_size"} or "climate" in name, name
+            assert name in CALENDAR or name in MERGED, name
 
 
 def test_filters_and_columns_reach_the_scan(spark):

@@ -28,5 +28,13 @@ def test_entry_and_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-def test_result_files(spark):
-    assert QUERIES["result_files"](spark, SMALL).count() == 14
+def test_every_query_has_sql():
+    assert all(q.sql for q in QUERIES.values())
+
+
+def test_listing(spark):
+    """Listing reads no table's rows, so it is no query."""
+    from verdance.sources.files import list_files, size_totals
+
+    files = list_files(spark, SMALL, "*.parquet")
+    assert size_totals(files).first().files == files.count() == 14

@@ -34,7 +34,7 @@ from verdance.operators import veglog as VL
 from verdance.oracle_views import ROLLING_AS_LOG, VIEWS, Views, with_views
 from verdance.session import materialise, shared_dir
 from verdance.sources import driver_tables as D
-from verdance.sources.files import clip_aoi, list_files, size_totals
+from verdance.sources.files import clip_aoi
 from verdance.streaming import rolling_log as RL
 from verdance.streaming import scene_results as SR
 from verdance.streaming.versions import latest_rows, latest_version, run_available
@@ -1072,7 +1072,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return FC.training_rows(
-        D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True
+        D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True, tolerance_days=0
     )
 
 
@@ -1104,7 +1104,7 @@ _OLS_SQL = """
 def _(spark, sf):
     """Least-squares coefficients over the whole history (the default is 120 days)."""
     rows = FC.training_rows(
-        D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True
+        D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=2400, bounded=True, tolerance_days=0
     )
     return FC.coefficients(spark, FC.fit(materialise(rows, "training-rows")))
 
@@ -1136,14 +1136,19 @@ def _(spark, sf):
     )
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def _stream(spark: SparkSession, sf: str, name: str, batches: int | None = None) -> DataFrame:
+    """A table as a stream; with ``batches``, in so many micro-batches."""
+    if batches:
+        path = shared_dir(spark, name)
+        D.table(spark, sf, name).repartition(batches).write.parquet(path)
+        return SR.read_stream(spark, path, D.table(spark, sf, name).schema, files_per_batch=1)
     return SR.read_stream(spark, f"{sf}/{name}.parq*", D.table(spark, sf, name).schema)
 
 
 @query("rolling_last20_stream", _ROLLING, "SELECT * FROM rolling", "rolling")
 def _(spark, sf):
     base = shared_dir(spark, "rolling-log")
-    entries = D.log_stream(_stream(spark, sf, "events"))
+    entries = D.log_stream(_stream(spark, sf, "events", batches=4))
     run_available(RL.snapshot_writer(entries, f"{base}/log", f"{base}/progress"))
     return latest_version(spark, f"{base}/log")
 
@@ -1159,7 +1164,7 @@ def _(spark, sf):
 @query("alerts_stream", _ALERT, "SELECT * FROM alerts", "alerts", ROLLING_AS_LOG)
 def _(spark, sf):
     base = shared_dir(spark, "alerts")
-    entries = D.log_stream(_stream(spark, sf, "events"))
+    entries = D.log_stream(_stream(spark, sf, "events", batches=4))
     run_available(RL.alert_writer(entries, base, f"{base}/progress"))
     return latest_version(spark, f"{base}/alerts")
 
@@ -1198,19 +1203,6 @@ def _(spark, sf):
 # --- files -----------------------------------------------------------------------
 
 
-@query("result_files", "name:varchar length:bigint kb:r6")
-def _(spark, sf):
-    """Files of the table folder with sizes; contents are not read."""
-    return list_files(spark, sf, "*.parquet").select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length", "kb"
-    )
-
-
-@query("result_size", "files:bigint total_kb:r6")
-def _(spark, sf):
-    return size_totals(list_files(spark, sf, "*.parquet"))
-
-
 @query(
     "event_properties",
     "event_id:bigint k:bigint",
@@ -1237,3 +1229,6 @@ def _(spark, sf):
         L.title(F.col("vegetation_health")).alias("label"),
         CF.water_stress_risk(F.col("temperature_max"), F.col("precipitation")).alias("risk"),
     )
+
+
+from verdance import registry_files  # noqa: E402, F401  adds its queries
