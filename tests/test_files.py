@@ -82,13 +82,13 @@ def test_default_aoi(spark):
 
 
 def test_stac_items(spark, tmp_path):
-    item = {"id": "x1", "collection": "sentinel-2-l2a", "properties": {"eo:cloud_cover": 5.0, "datetime": "2024-07-15T10:30:00Z"},
+    item = {"id": "x1", "collection": "sentinel-2-l2a", "properties": {"eo:cloud_cover": 7.5, "datetime": "2023-05-02T08:15:00Z"},
             "geometry": {"type": "Polygon", "coordinates": [[list(p) for p in square(1, 2, 1)]]},
             "assets": {"red": {"href": "http://r"}, "nir": {"href": "http://n"}}}
     bare = {"id": "x2", "collection": "c", "properties": {"datetime": "2024-07-16T10:30:00Z"}, "assets": {}}
     (tmp_path / "items.json").write_text(json.dumps(item) + "\n" + json.dumps(bare))
     a, b = S.read_stac_items(spark, str(tmp_path)).orderBy("scene_id").collect()
-    assert (a.scene_id, a.cloud_cover, a.datetime) == ("x1", 5.0, dt.datetime(2024, 7, 15, 10, 30))
+    assert (a.scene_id, a.cloud_cover, a.datetime) == ("x1", 7.5, dt.datetime(2023, 5, 2, 8, 15))
     assert a.assets == {"red": "http://r", "nir": "http://n"} and a.footprint[1].lon == 2.0
     assert b.cloud_cover is None
 

@@ -62,6 +62,9 @@ def confidence(n: Column) -> Column:
     return F.when(n >= 5, "high").when(n >= 3, "medium").otherwise("low")
 
 
+# fixed values: the sentences of the trend report, here and below
+
+
 def ndvi_interpretation(mean: Column) -> Column:
     return (
         F.when(mean > GOOD_NDVI, "Good vegetation health")
@@ -94,6 +97,9 @@ def share_percent(part: Column, total: Column) -> Column:
     return part / total * 100.0
 
 
+# fixed values: the forms of period and batch names
+
+
 def period_label(start: Column, end: Column) -> Column:
     return F.concat_ws("_to_", start.cast("string"), end.cast("string"))
 

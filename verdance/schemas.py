@@ -69,6 +69,11 @@ TILES = T.StructType(
     ]
 )
 
+WIDE_TILES = T.StructType(
+    [f for f in TILES if f.name not in ("band", "dn")]
+    + [T.StructField(f"{b}_dn", T.ArrayType(T.IntegerType())) for b in ("red", "nir", "green", "blue")]
+)
+
 PIXELS = T.StructType(
     [
         T.StructField("aoi_id", T.StringType()),
