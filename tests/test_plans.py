@@ -9,7 +9,7 @@ import pytest
 from tests.conftest import SMALL
 from verdance.registry import QUERIES
 
-STREAMS = {n for n in QUERIES if n.endswith(("_stream", "_state", "_late"))}
+STREAMS = {n for n in QUERIES if n.endswith(("_stream", "_state", "_late", "_batches"))}
 
 
 # running totals over the days of the calendar, and final merges of global aggregates

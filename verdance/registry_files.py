@@ -18,14 +18,15 @@ from verdance.operators import periods as PE
 from verdance.operators import pixels as PX
 from verdance.operators import scenes as SC
 from verdance.operators import series as SE
-from verdance.oracle_views import VIEWS, Views
-from verdance.registry import _BATCH_VIEWS, _CLIPPED, MODEL_AS_OF, _batch, query
+from verdance.oracle_views import ROLLING_AS_LOG, VIEWS, Views
+from verdance.registry import _ALERT, _BATCH_VIEWS, _CLIPPED, _ROLLING, MODEL_AS_OF, _batch, query
 from verdance.session import shared_dir
 from verdance.sinks import files as K
 from verdance.sources import driver_tables as D
 from verdance.sources import files as S
+from verdance.streaming import rolling_log as RL
 from verdance.streaming import scene_results as SR
-from verdance.streaming.versions import latest_rows, run_available
+from verdance.streaming.versions import latest_rows, latest_version, run_available
 
 STORED_AT = dt.datetime(2024, 7, 31, 9, 30, 5)
 
@@ -143,6 +144,30 @@ def _(spark, sf):
     return PX.assign_aoi(D.pixels(spark, sf), area, cell=0.0007)
 
 
+# --- streams in several micro-batches ---------------------------------------------
+
+
+def _in_batches(spark: SparkSession, sf: str, batches: int = 4) -> DataFrame:
+    """The log of events as a stream of so many micro-batches."""
+    path, events = shared_dir(spark, "events"), D.table(spark, sf, "events")
+    events.repartition(batches).write.parquet(path)
+    return D.log_stream(SR.read_stream(spark, path, events.schema, files_per_batch=1))
+
+
+@query("rolling_last20_batches", _ROLLING, "SELECT * FROM rolling", "rolling")
+def _(spark, sf):
+    base = shared_dir(spark, "rolling-log")
+    run_available(RL.snapshot_writer(_in_batches(spark, sf), f"{base}/log", f"{base}/progress"))
+    return latest_version(spark, f"{base}/log")
+
+
+@query("alerts_batches", _ALERT, "SELECT * FROM alerts", "alerts", ROLLING_AS_LOG)
+def _(spark, sf):
+    base = shared_dir(spark, "alerts")
+    run_available(RL.alert_writer(_in_batches(spark, sf), base, f"{base}/progress"))
+    return latest_version(spark, f"{base}/alerts")
+
+
 # --- model and late data ---------------------------------------------------------
 
 
