@@ -16,6 +16,7 @@ from verdance.operators import periods as PE
 from verdance.operators import pixels as P
 from verdance.operators.veglog import rolling_last
 from verdance.plans import workflows as WF
+from verdance.session import remove_scratch
 from verdance.sinks import files as K
 from verdance.sources import files as S
 
@@ -266,5 +267,16 @@ def test_jobs(spark, field, log_of):
     assert spark.read.json(second).first().data_points == 6
 
 
+def test_a_job_leaves_no_scratch_folder(spark, tmp_path, log_of):
+    from verdance.session import shared_dir
+
+    shared = os.path.dirname(shared_dir(spark, "probe")).removeprefix("file:")
+    remove_scratch(spark)
+    before = set(os.listdir(shared))
+    log = K.write_log(log_of({"a": [0.5, 0.4, 0.3, 0.2]}), str(tmp_path), NOW)
+    analysis.main(["--log", log, "--out", str(tmp_path / "out")])
+    assert set(os.listdir(shared)) == before
+
+
 def test_season_periods_of_jobs_are_fixed():
     assert PE.SEASONS[0][1:] == ("2024-07-01", "2024-07-31")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from verdance.jobs.entry import job
 from verdance.operators.anomalies import analytics_document
 from verdance.plans.workflows import analyze_log
 from verdance.session import get_session
@@ -15,7 +16,7 @@ from verdance.sinks.files import write_document, write_trends
 from verdance.sources.files import read_log
 
 
-def main(argv: list[str] | None = None) -> list[str]:
+def run(argv: list[str] | None = None) -> list[str]:
     p = argparse.ArgumentParser()
     p.add_argument("--log", required=True)
     p.add_argument("--out", required=True)
@@ -32,5 +33,8 @@ def main(argv: list[str] | None = None) -> list[str]:
     ]
 
 
+main = job(run)
+
+
 if __name__ == "__main__":
     main()

@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from verdance.jobs.entry import job
 from verdance.operators.periods import BATCH_MONTHS, multi_temporal_batch
 from verdance.operators.scenes import scenes_over_aoi
 from verdance.session import get_session
@@ -15,7 +16,7 @@ from verdance.sinks.files import write_batch_summary
 from verdance.sources.files import read_aoi, read_scenes
 
 
-def main(argv: list[str] | None = None) -> str:
+def run(argv: list[str] | None = None) -> str:
     p = argparse.ArgumentParser()
     p.add_argument("--catalog", required=True)
     p.add_argument("--aoi")
@@ -32,5 +33,8 @@ def main(argv: list[str] | None = None) -> str:
     return write_batch_summary(batch, a.out, now)
 
 
+main = job(run)
+
+
 if __name__ == "__main__":
     main()

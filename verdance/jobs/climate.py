@@ -9,6 +9,7 @@ import argparse
 import datetime as dt
 
 from verdance.functions.dates import CLIMATE_DAYS, look_back
+from verdance.jobs.entry import job
 from verdance.operators.correlation import correlation_document
 from verdance.plans.workflows import climate_correlation, integrate_climate
 from verdance.session import get_session
@@ -16,7 +17,7 @@ from verdance.sinks.files import write_climate, write_document
 from verdance.sources.files import read_log, read_newest_climate
 
 
-def main(argv: list[str] | None = None) -> list[str]:
+def run(argv: list[str] | None = None) -> list[str]:
     p = argparse.ArgumentParser()
     p.add_argument("--observed", required=True, help="parquet of daily observations")
     p.add_argument("--log")
@@ -41,5 +42,8 @@ def main(argv: list[str] | None = None) -> list[str]:
     return written
 
 
+main = job(run)
+
+
 if __name__ == "__main__":
     main()

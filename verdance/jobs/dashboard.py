@@ -7,13 +7,14 @@ from __future__ import annotations
 
 import argparse
 
+from verdance.jobs.entry import job
 from verdance.operators.correlation import climate_insights, climate_join
 from verdance.operators.dashboard import climate_panels, dashboard_tables
 from verdance.session import get_session, materialise
 from verdance.sources.files import read_log
 
 
-def main(argv: list[str] | None = None) -> list[str]:
+def run(argv: list[str] | None = None) -> list[str]:
     """Writes one table per panel below ``dashboard``; returns their paths."""
     p = argparse.ArgumentParser()
     p.add_argument("--log", required=True)
@@ -33,5 +34,8 @@ def main(argv: list[str] | None = None) -> list[str]:
     return paths
 
 
+main = job(run)
+
+
 if __name__ == "__main__":
     main()

@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from verdance.jobs.entry import job
 from verdance.operators.veglog import rolling_last
 from verdance.plans.workflows import END_DATE, START_DATE, process_scenes, update_log
 from verdance.session import get_session, materialise
@@ -15,7 +16,7 @@ from verdance.sinks.files import write_log, write_scene_statistics
 from verdance.sources.files import read_aoi, read_log, read_scenes
 
 
-def main(argv: list[str] | None = None) -> list[str]:
+def run(argv: list[str] | None = None) -> list[str]:
     """Paths of the statistics and, with ``--log``, of the whole and the rolling log.
 
     ``--log`` is a log to go on from; a path without a log starts one.
@@ -49,5 +50,8 @@ def main(argv: list[str] | None = None) -> list[str]:
     return paths
 
 
+main = job(run)
+
+
 if __name__ == "__main__":
     main()

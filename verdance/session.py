@@ -19,6 +19,9 @@ SETTINGS = {
 }
 
 
+_made: list[str] = []
+
+
 def get_session(app_name: str = "verdance", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -37,7 +40,21 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A mark for ``remove_scratch``: the folders asked for so far."""
+    return len(_made)
+
+
+def remove_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Removes the scratch folders this process has asked for since the mark, when results are written."""
+    while len(_made) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
