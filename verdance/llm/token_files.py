@@ -36,7 +36,8 @@ _LETTER = "a-zß-öø-ÿ"
 _PLAIN = r"^[\x09-\x0D\x20-\x7EÀ-ÖØ-öø-ÿ]*$"
 _SPECIAL = r"'|<\|"
 _ONE_RUN = re.compile(f"[{_LETTER}]+|[0-9]|[!-/:-@\\[-`{{-~]+")
-KNOWN_LIMIT = 500_000
+KNOWN_LIMIT = 400_000
+SLICE_ROWS = 1000
 
 
 class Encoder:
@@ -51,16 +52,33 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers import pre_tokenizers as P
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For runs that are in normal form and cut already, the same without these steps.
+        self.for_runs = Tokenizer.from_file(path)
+        self.for_runs.normalizer = None
+        self.for_runs.pre_tokenizer = P.Sequence(
+            [P.WhitespaceSplit(), P.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.last = np.array([n.endswith("</w>") for n in names])
-        self._forget()
-
-    def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
+        self.starts, self.sizes, self.uses = (np.empty(0, np.int64) for _ in range(3))
+
+    def _forget_rare(self) -> None:
+        """Keeps the pieces that more than one call used, half of the limit at most."""
+        names = list(self.place)
+        kept = np.flatnonzero(self.uses > 1)
+        often = np.argsort(-self.uses[kept], kind="stable")[: KNOWN_LIMIT // 2]
+        kept = np.sort(kept[often])
+        n = self.sizes[kept]
+        starts = np.cumsum(n) - n
+        self.flat = self.flat[np.arange(n.sum()) + np.repeat(self.starts[kept] - starts, n)]
+        self.starts, self.sizes, self.uses = starts, n, np.zeros(len(kept), np.int64)
+        self.place = {names[k]: i for i, k in enumerate(kept.tolist())}
 
     def _learn(self, pieces: list[str]) -> None:
         one_run, other = [], []
@@ -69,7 +87,8 @@ class Encoder:
         ids, sizes = [], []
         if one_run:
             # Every run ends with an id that marks the end of a word.
-            joined = np.array(self.tokenizer.encode(" ".join(one_run), add_special_tokens=False).ids, np.int32)
+            joined = self.for_runs.encode_batch_fast([" ".join(one_run)], add_special_tokens=False)
+            joined = np.array(joined[0].ids, np.int32)
             ends = np.flatnonzero(self.last[joined]) + 1
             ids.append(joined)
             sizes.append(np.diff(ends, prepend=0))
@@ -85,15 +104,18 @@ class Encoder:
         self.flat = np.concatenate([self.flat, *ids])
         self.starts = np.concatenate([self.starts, first])
         self.sizes = np.concatenate([self.sizes, sizes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int64)])
 
     def _places(self, pieces: list[str]) -> np.ndarray:
         new = [p for p in pieces if p not in self.place]
         if new and len(self.place) + len(new) > KNOWN_LIMIT:
-            self._forget()
-            new = pieces
+            self._forget_rare()
+            new = [p for p in pieces if p not in self.place]
         for at in range(0, len(new), 20_000):
             self._learn(new[at : at + 20_000])
-        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        places = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        self.uses[places] += 1
+        return places
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of an Arrow column of texts, each followed by ``END_ID``, and the ends of the texts."""
@@ -142,12 +164,14 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            ids, ends = encoder(tokenizer).encode(batch.column("text"))
+        # Slices, as the numbers for a text's ids are many times its size.
+        slices = (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS))
+        for rows in slices:
+            ids, ends = encoder(tokenizer).encode(rows.column("text"))
             ends = np.concatenate(([0], ends))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("place"), pa.array(np.diff(ends)),
+                    rows.column("doc_id"), rows.column("place"), pa.array(np.diff(ends)),
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
                 ],
                 names=["doc_id", "place", "n_tokens", "ids"],
