@@ -76,6 +76,24 @@ def test_hot_passage_and_chain(docs_of):
     assert want[229][1] == 200
 
 
+def test_blocks_of_a_tile_change_nothing(docs_of, monkeypatch):
+    """Groups of near copies larger than a block, some of them apart from each other."""
+    monkeypatch.setattr(J, "BLOCK", 4)
+    draw = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in draw.sample(range(150), draw.randint(1, 7)):
+            words[at] = f"x{i}_{at}"
+        rows.append((i + 1, " ".join(words)))
+    rows += [(i + 100, t) for i, t in near_copies(3, groups=12)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_classes(docs_of(rows))[0].collect()}
+    want = brute(rows)
+    assert got == want
+    assert len({c for _, c in want.values()}) > 10
+
+
 def test_awkward_rows(awkward):
     rows = J.jaccard_classes(awkward)[0].collect()
     assert len(rows) == 14

@@ -143,17 +143,29 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
-def first_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of each tile member with the smallest member and with its neighbour."""
-    order = W.partitionBy("tile").orderBy("size", "rep")
-    near = members.select(
-        "rep",
-        "size",
-        F.first(F.struct("rep", "size")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("head"),
-        F.lag(F.struct("rep", "size")).over(order).alias("before"),
+def tile_members(chosen: DataFrame) -> DataFrame:
+    """``tile, rep, size, head, block`` of the sets in tiles of two or more.
+
+    ``head`` is the tile's smallest set.  Members are dealt to blocks of about
+    ``BLOCK``, so that no step gathers a tile that a large group of copies fills.
+    """
+    placed = chosen.select("rep", "size", F.explode("tiles").alias("tile"))
+    heads = (
+        placed.groupBy("tile")
+        .agg(F.min(F.struct("size", "rep")).alias("head"), F.count("*").alias("n"))
+        .where("n > 1")
     )
-    pair = F.explode(F.array("head", "before"))
-    return near.select("rep", "size", pair.alias("other")).select(
+    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / BLOCK)).cast("int")
+    return placed.join(heads, "tile").select("tile", "rep", "size", "head", block.alias("block"))
+
+
+def first_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of each tile member with the smallest member and with its neighbour by size in its block."""
+    order = W.partitionBy("tile", "block").orderBy("size", "rep")
+    before = F.lag(F.struct("size", "rep")).over(order)
+    near = members.select("rep", "size", before.alias("other")).where("other is not null")
+    both = members.select("rep", "size", F.col("head").alias("other")).unionByName(near)
+    return both.select(
         F.col("other.rep").alias("a"), F.col("other.size").alias("size_a"),
         F.col("rep").alias("b"), F.col("size").alias("size_b"),
     )
@@ -162,44 +174,38 @@ def first_pairs(members: DataFrame) -> DataFrame:
 def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs across the classes of a tile that sizes and bitmaps let link.
 
-    ``members`` has ``tile, rep, size, component, bits``, one tile in one
-    partition and in order of size.  A tile is compared in blocks.
+    ``members`` has ``tile, rep, size, component, bits``.  Members outside the
+    tile's largest class meet all others, in cells of two blocks, so a task
+    holds one cell at a time.
     """
 
-    def compare(batches: Iterator) -> Iterator:
+    def numbers(batch) -> dict:
+        names = ("tile", "a", "b", "side", "rep", "size", "component")
+        out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
+        flat = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64)
+        return out | {"bits": flat.reshape(-1, BITMAP_WORDS)}
+
+    def pairs(cell: dict) -> Iterator:
         import pyarrow as pa
 
-        def pairs(frame: dict) -> Iterator:
-            size, comp, rep, bits = frame["size"], frame["component"], frame["rep"], frame["bits"]
-            for i in range(0, len(rep), BLOCK):
-                for j in range(i, len(rep), BLOCK):
-                    if size[j] * percent > 100 * size[min(i + BLOCK, len(rep)) - 1]:
-                        break
-                    x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
-                    p, q = np.nonzero(
-                        (comp[x][:, None] != comp[y][None, :])
-                        & (size[x][:, None] <= size[y][None, :])
-                        & (size[y][None, :] * percent <= 100 * size[x][:, None])
-                    )
-                    if i == j:
-                        p, q = p[p < q], q[p < q]
-                    for k in range(0, len(p), 65536):
-                        a, b = p[k : k + 65536] + i, q[k : k + 65536] + j
-                        # An element that sets a bit of one bitmap alone is in one set alone.
-                        apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-                        both = size[a] + size[b]
-                        near = apart * (100 + percent) <= both * (100 - percent)
-                        if near.any():
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(z) for z in (rep[a][near], size[a][near], rep[b][near], size[b][near])],
-                                names=["a", "size_a", "b", "size_b"],
-                            )
-
-        def numbers(batch) -> dict:
-            out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("tile", "rep", "size", "component")}
-            flat = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64)
-            return out | {"bits": flat.reshape(-1, BITMAP_WORDS)}
+        size, comp, rep, bits, minor = (cell[n] for n in ("size", "component", "rep", "bits", "side"))
+        left, right = np.flatnonzero(minor == 0), np.flatnonzero(minor != 0)
+        apart = comp[left][:, None] != comp[right][None, :]
+        near = (size[left][:, None] * 100 >= size[right][None, :] * percent) & (
+            size[right][None, :] * 100 >= size[left][:, None] * percent
+        )
+        # Two members outside the largest class meet twice, once on either side.
+        once = (minor[right] == 2)[None, :] | (rep[left][:, None] < rep[right][None, :])
+        p, q = np.nonzero(apart & near & once)
+        for k in range(0, len(p), 65536):
+            a, b = left[p[k : k + 65536]], right[q[k : k + 65536]]
+            # An element that sets a bit of one bitmap alone is in one set alone.
+            differing = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            may = differing * (100 + percent) <= (size[a] + size[b]) * (100 - percent)
+            if may.any():
+                yield pa.RecordBatch.from_arrays([pa.array(rep[a][may]), pa.array(rep[b][may])], names=["a", "b"])
 
+    def compare(batches: Iterator) -> Iterator:
         held = None
         for batch in batches:
             if not batch.num_rows:
@@ -207,18 +213,43 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
             now = numbers(batch)
             if held is not None:
                 now = {n: np.concatenate((held[n], now[n])) for n in now}
-            tile = now["tile"]
-            cuts = np.flatnonzero(tile[1:] != tile[:-1]) + 1
-            edges = [0, *cuts.tolist()]
+            new = np.zeros(len(now["tile"]) - 1, bool)
+            for n in ("tile", "a", "b"):
+                new |= now[n][1:] != now[n][:-1]
+            edges = [0, *(np.flatnonzero(new) + 1).tolist()]
             for s, e in zip(edges[:-1], edges[1:]):
                 yield from pairs({n: v[s:e] for n, v in now.items()})
             held = {n: v[edges[-1] :] for n, v in now.items()}
         if held is not None:
             yield from pairs(held)
 
-    placed = members.select("tile", "rep", "size", "component", "bits").repartition("tile")
-    placed = placed.sortWithinPartitions("tile", "size", "rep")
-    return placed.mapInArrow(compare, "a long, size_a long, b long, size_b long")
+    largest = F.max(F.struct("n", "component"))
+    tiles = (
+        members.groupBy("tile", "component").agg(F.count("*").alias("n"))
+        .groupBy("tile").agg(largest.alias("most"), F.sum("n").alias("all"))
+        .select(
+            "tile", F.col("most.component").alias("largest"), F.ceil(F.col("all") / BLOCK).alias("blocks"),
+            F.ceil((F.col("all") - F.col("most.n")) / BLOCK).alias("minor_blocks"),
+        )
+        .where("minor_blocks > 0")
+    )
+    placed = members.join(tiles, "tile").withColumn("minor", F.col("component") != F.col("largest"))
+    salt = F.xxhash64("rep")
+    row = ["tile", "rep", "size", "component", "bits"]
+
+    def every(blocks: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks).cast("long") - 1))
+
+    # Sides: 0 a member outside the largest class, met by 1 others outside and 2 those inside.
+    left = placed.where("minor").select(
+        *row, F.pmod(salt, F.col("minor_blocks")).cast("long").alias("a"), every("blocks").alias("b"), F.lit(0).alias("side")
+    )
+    right = placed.select(
+        *row, every("minor_blocks").alias("a"), F.pmod(salt, F.col("blocks")).cast("long").alias("b"),
+        F.when(F.col("minor"), 1).otherwise(2).alias("side"),
+    )
+    cells = left.unionByName(right).repartition("tile", "a", "b").sortWithinPartitions("tile", "a", "b")
+    return cells.mapInArrow(compare, "a long, b long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -276,9 +307,8 @@ def jaccard_classes(
     chosen = full.join(reps, ["doc_id", "set_hi", "set_lo"], "left_semi").select(
         F.col("doc_id").alias("rep"), "size", "bits", "tiles"
     )
-    in_tiles = chosen.select("rep", "size", F.explode("tiles").alias("tile"))
-    shared = in_tiles.withColumn("n", F.count("*").over(W.partitionBy("tile"))).where("n > 1")
-    members = materialise(shared.select("tile", "rep", "size"), "tiles")
+    chosen = materialise(chosen, "chosen")
+    members = materialise(tile_members(chosen), "tiles")
 
     close = F.expr(f"a <> b and 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
     first = materialise(first_pairs(members).where(close).select("a", "b").distinct(), "pairs")
@@ -293,8 +323,8 @@ def jaccard_classes(
     mixed_tiles = grouped.groupBy("tile").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low < high").select("tile")
-    open_members = grouped.join(mixed_tiles, "tile", "left_semi").join(
-        chosen.select("rep", "bits"), "rep"
+    open_members = materialise(
+        grouped.join(mixed_tiles, "tile", "left_semi").join(chosen.select("rep", "bits"), "rep"), "open-tiles"
     )
     rest = bounded_pairs(open_members, percent).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
