@@ -9,9 +9,9 @@ Within a tile, bitmaps of the hashed elements bound the overlap from above by
 bit counts; what they leave is decided on the sorted arrays.
 
 Only classes are wanted, so a tile does not compare all its pairs.  First each
-member meets the tile's smallest set and its neighbour by size; then, if a tile
-still spans several classes, the pairs across its classes.  No pair is left out
-that could join two classes.
+member meets one head of its tile and a neighbour by size; then, if a tile still
+spans several classes, the members outside its largest class meet all others,
+in cells of bounded size.  No pair is left out that could join two classes.
 """
 
 from __future__ import annotations
@@ -144,31 +144,31 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
 
 def tile_members(chosen: DataFrame) -> DataFrame:
-    """``tile, rep, size, head, block`` of the sets in tiles of two or more.
+    """``tile, rep, size, head, head_size, block`` of the sets in tiles of two or more.
 
-    ``head`` is the tile's smallest set.  Members are dealt to blocks of about
-    ``BLOCK``, so that no step gathers a tile that a large group of copies fills.
+    ``head`` is the tile's set with the smallest id.  Members are dealt to
+    blocks of about ``BLOCK``, so that no step gathers a tile that a large group
+    of copies fills.  The heads are written, so that the join meets a plain
+    table, of which Spark splits hot partitions.
     """
     placed = chosen.select("rep", "size", F.explode("tiles").alias("tile"))
     heads = (
         placed.groupBy("tile")
-        .agg(F.min(F.struct("size", "rep")).alias("head"), F.count("*").alias("n"))
+        .agg(F.min("rep").alias("head"), F.min_by("size", "rep").alias("head_size"), F.count("*").alias("n"))
         .where("n > 1")
     )
+    heads = materialise(heads, "heads")
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    return placed.join(heads, "tile").select("tile", "rep", "size", "head", block.alias("block"))
+    return placed.join(heads, "tile").select("tile", "rep", "size", "head", "head_size", block.alias("block"))
 
 
 def first_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of each tile member with the smallest member and with its neighbour by size in its block."""
+    """Pairs of each tile member with the tile's head and with its neighbour by size in its block."""
     order = W.partitionBy("tile", "block").orderBy("size", "rep")
-    before = F.lag(F.struct("size", "rep")).over(order)
-    near = members.select("rep", "size", before.alias("other")).where("other is not null")
-    both = members.select("rep", "size", F.col("head").alias("other")).unionByName(near)
-    return both.select(
-        F.col("other.rep").alias("a"), F.col("other.size").alias("size_a"),
-        F.col("rep").alias("b"), F.col("size").alias("size_b"),
-    )
+    b = [F.col("rep").alias("b"), F.col("size").alias("size_b")]
+    near = members.select(F.lag("rep").over(order).alias("a"), F.lag("size").over(order).alias("size_a"), *b)
+    star = members.select(F.col("head").alias("a"), F.col("head_size").alias("size_a"), *b)
+    return star.unionByName(near.where("a is not null"))
 
 
 def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
