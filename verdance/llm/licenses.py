@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from verdance.session import materialise
+
 # Statements by which licences are named.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -89,13 +91,16 @@ def own_licenses(files: DataFrame, weights: DataFrame, least: float = LEAST_COSI
     )
     idf = weights.select("term", "idf").distinct()
     weighted = tf.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rarest))
-    norms = weighted.groupBy("file_id", "place").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    # A window over the terms of a sentence, so that the texts are read once.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("file_id", "place")))
     dots = (
-        weighted.where("idf is not null")
+        weighted.withColumn("norm", norm)
+        .where("idf is not null")
         .join(F.broadcast(weights.select("template", "license", "term", "weight")), "term")
-        .groupBy("file_id", "place", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+        .groupBy("file_id", "place", "template", "license")
+        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.max("norm").alias("norm"))
     )
-    scored = dots.join(norms, ["file_id", "place"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), DIGITS))
+    scored = dots.withColumn("score", F.round(F.col("dot") / F.col("norm"), DIGITS))
     best = F.min(F.struct((-F.col("score")).alias("minus"), F.col("license").alias("license")))
     return (
         scored.where(F.col("score") >= least)
@@ -126,7 +131,8 @@ def license_scan(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
     files costs no more than another until the last join.
     """
     spark = files.sparkSession
-    own = own_licenses(files, template_weights(spark, templates))
+    # Used three times below; written, it is found once.
+    own = materialise(own_licenses(files, template_weights(spark, templates)), "licenses")
     placed = files.select("file_id", "path").join(own, "file_id", "left").withColumn("dir", directory(F.col("path")))
     name = F.regexp_extract("path", "([^/]*)$", 1)
     best = F.min(F.struct((-F.col("score")).alias("minus"), F.col("path").alias("path"), F.col("license").alias("license")))
