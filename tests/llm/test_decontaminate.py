@@ -67,6 +67,36 @@ def test_whole_and_edited_copies_are_found_and_others_left(spark, docs_of):
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - set(want)
 
 
+def test_edited_copies_equal_alignment_of_all_pairs(spark, docs_of):
+    draw = random.Random(4)
+    tags = ["t", "t", "t", "u", "s", "s"]
+    items = [[f"{tag}{draw.randint(0, 60 if tag == 's' else 400)}" for _ in range(n)] for tag, n in zip(tags, (38, 59, 15, 120, 38, 4))]
+    texts = []
+    for item in items:
+        for edited in (
+            [f"x{i}" if i % 4 == 3 else w for i, w in enumerate(item)],
+            [f"x{i}" if i % 3 == 2 else w for i, w in enumerate(item)],
+            [x for i, w in enumerate(item) for x in ((w, f"y{i}") if i % 2 else (w,))],
+            [x for i, w in enumerate(item) for x in (w, f"z{i}")],
+            item[: len(item) // 2], item[len(item) // 2 - 1 :], item[len(item) // 4 : -(len(item) // 4)],
+            item[len(item) // 2 :] + item[: len(item) // 2], draw.sample(item, len(item)),
+        ):
+            # The same edited passage in many documents, some of them of words of the items.
+            for _ in range(4):
+                pool = draw.choice([["d1", "d2", "d3"], sum(items, [])])
+                texts.append(" ".join(draw.choices(pool, k=draw.randint(0, 200)) + edited + draw.choices(pool, k=90)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)
+    hashed = [D.word_hashes(" ".join(w).encode()) for w in items]
+    want = {}
+    for doc, text in enumerate(texts):
+        for item, words in enumerate(hashed):
+            score = D.align(words, D.word_hashes(text.encode()))[0]
+            if score >= max(min(len(words), 60), 2 * min(3, len(words))):
+                want[doc, item] = score
+    found = D.find_contamination(docs_of(texts), bench).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in found} == want and len(found) == len(want)
+
+
 def test_blocks_change_nothing(spark, docs_of, monkeypatch):
     items, docs, want = planted(9)
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)

@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare word n-grams as seeds, Smith-Waterman alignment as judge.
+"""Benchmark decontamination: Smith-Waterman alignment as judge, behind an exact upper bound.
 
 The benchmark is the query set: it is dealt to blocks of bounded size, and each
-block meets all documents in one pass without a shuffle.  A first pass counts
-in how many documents each benchmark n-gram occurs; the rarer ones of every
-item are its seeds.  Where a document has a seed, the words around it are
-aligned with the item, so edited copies are found as well.
+block meets all documents in one pass without a shuffle.  A document is aligned
+with an item wherever the item's words lie densely enough in it for a score that
+counts, whatever their order, so no pair over the threshold is missed: a span of
+``n`` words with ``h`` words of the item scores at most ``MATCH h - COST (n - h)``.
 """
 
 from __future__ import annotations
@@ -20,43 +20,36 @@ from pyspark.sql import functions as F
 from verdance.llm.words import shingle_hashes, small_batches, utf8, word_hashes
 
 GRAM = 3
-#: Share of an item's n-grams that are seeds, the rarest first, and their least number.
-SEED_SHARE = 0.6
-LEAST_SEEDS = 8
 BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP_COST = 2, -1, 1
 #: Contaminated: a score of this share of the item's own, or of so many words' matches.
 LEAST_RATIO = 0.5
 LEAST_WORDS = 30
+#: What a document's word inside an alignment costs at least if it matches nothing.
+COST = min(-MISMATCH, GAP_COST)
+#: Share of the least score up to which an item's most common words are left to the second bound.
+COMMON_SHARE = 0.25
 FILTER_BITS = 20
 
 
 @dataclass(frozen=True)
 class Items:
-    """A block of benchmark items: word hashes of each, and n-grams with their places."""
+    """A block of benchmark items: word hashes of each, and all their n-grams."""
 
     ids: np.ndarray
     words: tuple[np.ndarray, ...]
     gram: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
-
-    def only(self, keep: np.ndarray) -> Items:
-        return Items(self.ids, self.words, self.gram[keep], self.item[keep], self.place[keep])
 
 
 def items_of(rows: list[tuple[int, bytes]]) -> Items:
     words = [word_hashes(text) for _, text in rows]
     grams = [shingle_hashes(w, GRAM) for w in words]
     gram = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-    order = np.argsort(gram, kind="stable")
-    item = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
-    place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
-    return Items(np.array([i for i, _ in rows], np.int64), tuple(words), gram[order], item[order], place[order])
+    return Items(np.array([i for i, _ in rows], np.int64), tuple(words), np.sort(gram))
 
 
 class Lookup:
-    """Finds the n-grams of a document that are in a sorted array."""
+    """Finds the words or n-grams of a document that are in a sorted array."""
 
     def __init__(self, grams: np.ndarray):
         self.grams = grams
@@ -65,7 +58,7 @@ class Lookup:
         self.maybe[(grams >> self.shift).astype(np.int64)] = True
 
     def places(self, found: np.ndarray) -> np.ndarray:
-        """Positions in ``found`` of n-grams that are known."""
+        """Positions in ``found`` of hashes that are known."""
         at = np.flatnonzero(self.maybe[(found >> self.shift).astype(np.int64)])
         if not len(at):
             return at
@@ -88,7 +81,10 @@ def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> It
 
 
 def gram_frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many documents each n-gram of the block occurs; at most one row per n-gram and task batch."""
+    """In how many documents each n-gram of the block occurs; at most one row per n-gram and task.
+
+    A figure on the benchmark alone: the search does not depend on it.
+    """
     known = np.unique(items.gram)
 
     def count(batches: Iterator) -> Iterator:
@@ -110,17 +106,10 @@ def gram_frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
     return {r["gram"]: r["docs"] for r in rows}
 
 
-def seeds_of(items: Items, frequencies: dict[int, int]) -> Items:
-    """The block with only the rarer n-grams of every item."""
-    known, at = np.unique(items.gram, return_inverse=True)
-    docs = np.zeros(len(known), np.int64)
-    docs[list(frequencies)] = list(frequencies.values())
-    order = np.lexsort((items.place, docs[at], items.item))
-    sizes = np.bincount(items.item, minlength=len(items.ids))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    wanted = np.maximum(LEAST_SEEDS, np.ceil(SEED_SHARE * sizes))
-    return items.only(rank < wanted[items.item])
+def least_scores(sizes: np.ndarray) -> np.ndarray:
+    """Least score that counts, by item size; at least ``GRAM`` words, or all of a shorter item, match."""
+    share = np.minimum(LEAST_RATIO * MATCH * sizes, MATCH * LEAST_WORDS)
+    return np.maximum(share, MATCH * np.minimum(GRAM, sizes))
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -143,56 +132,94 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
 
 
 class Aligner:
-    """Judges one text after the other against a block of items."""
+    """Judges one text after the other against a block of items.
 
-    def __init__(self, seeds: Items):
-        self.seeds = seeds
-        self.lookup = Lookup(seeds.gram)
+    Most words of a text that some item holds are common ones.  So an item's
+    most common words, at most ``spared`` places of it, are left out at first:
+    had they all matched, the score would be higher by ``(MATCH + COST) spared``
+    at most.  Items that reach their least score with that are bounded again
+    with all their words, and then aligned.
+    """
+
+    def __init__(self, items: Items):
+        self.items = items
+        sizes = np.array([len(w) for w in items.words], np.int64)
+        self.least = least_scores(sizes)
+        spared = np.floor(COMMON_SHARE * self.least).astype(np.int64)
+        self.need = self.least - (MATCH + COST) * spared
+        self.sorted = [np.unique(w) for w in items.words]
+
+        word, item = np.concatenate(items.words), np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((item, word))
+        word, item = word[order], item[order]
+        new = np.concatenate(([True], (word[1:] != word[:-1]) | (item[1:] != item[:-1])))
+        copies = np.diff(np.append(np.flatnonzero(new), len(word)))
+        word, item = word[new], item[new]
+        _, at, spread = np.unique(word, return_inverse=True, return_counts=True)
+        order = np.lexsort((-spread[at], item))
+        places = np.cumsum(copies[order])
+        before = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        rare = np.empty(len(word), bool)
+        rare[order] = places - before[item[order]] > spared[item[order]]
+        self.known, self.start, self.many = np.unique(word[rare], return_index=True, return_counts=True)
+        self.holder = item[rare].astype(np.uint16 if len(sizes) <= 1 << 16 else np.int64)
+        self.lookup = Lookup(self.known)
+
+    def candidates(self, words: np.ndarray) -> np.ndarray:
+        """Items that may be in the words by their rarer words, in order."""
+        hits = self.lookup.places(words)
+        at = np.searchsorted(self.known, words[hits])
+        many = self.many[at]
+        total = int(many.sum())
+        index = np.arange(total) + np.repeat(self.start[at] - (np.cumsum(many) - many), many)
+        item, place = self.holder[index], np.repeat(hits, many)
+        enough = MATCH * np.bincount(item, minlength=len(self.need)) >= self.need
+        kept = enough[item]
+        item, place = item[kept], place[kept]
+        order = np.argsort(item, kind="stable")
+        item, place = item[order].astype(np.int64), place[order]
+        # The best span that ends at a hit starts at the item's hit with the lowest level before it.
+        level = (MATCH + COST) * np.arange(len(item)) - COST * place
+        apart = item * ((MATCH + COST) * total + COST * len(words) + 1)
+        lowest = np.minimum.accumulate(level - apart) + apart
+        return np.unique(item[level - lowest + MATCH >= self.need[item]])
+
+    def spans(self, number: int, words: np.ndarray) -> list[tuple[int, int]]:
+        """Stretches of the words that hold every span in which the item may reach its least score."""
+        own = self.sorted[number]
+        near = np.minimum(np.searchsorted(own, words), len(own) - 1)
+        place = np.flatnonzero(own[near] == words)
+        level = (MATCH + COST) * np.arange(len(place)) - COST * place
+        lowest = np.minimum.accumulate(level)
+        highest = np.maximum.accumulate(level[::-1])[::-1]
+        place = place[highest - lowest + MATCH >= self.least[number]]
+        if not len(place):
+            return []
+        # No alignment goes over a gap that costs more than the whole item scores.
+        cut = np.flatnonzero(COST * np.diff(place) > MATCH * len(self.items.words[number])) + 1
+        return [(int(p[0]), int(p[-1]) + 1) for p in np.split(place, cut)]
 
     def matches(self, text: bytes) -> list[tuple[int, int, float, int, int]]:
         """``(item, score, ratio, first word, word after)`` of items whose passage is in the text."""
-        seeds = self.seeds
         words = word_hashes(text)
-        grams = shingle_hashes(words, GRAM)
-        hits = self.lookup.places(grams)
-        if not len(hits):
-            return []
-        low = np.searchsorted(seeds.gram, grams[hits], "left")
-        many = np.searchsorted(seeds.gram, grams[hits], "right") - low
-        at = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        start = np.repeat(hits, many) - seeds.place[at]
-        item = seeds.item[at]
-        order = np.lexsort((start, item))
         out = []
-        for chosen in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
-            number = int(item[chosen[0]])
-            passage = seeds.words[number]
-            size = len(passage)
-            slack = size // 4 + 4
+        for number in self.candidates(words).tolist():
+            passage = self.items.words[number]
             best, span = 0, (0, 0)
-            first = last = None
-            for s in [*start[chosen].tolist(), None]:
-                if s is not None and last is not None and s - slack <= last:
-                    last = s + size + slack
-                    continue
-                if last is not None:
-                    a, b = max(0, first), min(len(words), last)
-                    score, end = align(passage, words[a:b])
-                    if score > best:
-                        best, span = score, (a, a + end)
-                if s is not None:
-                    first, last = s - slack, s + size + slack
-            if best >= min(LEAST_RATIO * MATCH * size, MATCH * LEAST_WORDS):
+            for a, b in self.spans(number, words):
+                score, end = align(passage, words[a:b])
+                if score > best:
+                    best, span = score, (a, a + end)
+            if best >= self.least[number]:
                 a, b = span
                 _, back = align(passage[::-1], words[a:b][::-1])
-                out.append((int(seeds.ids[number]), best, best / (MATCH * size), b - back, b))
+                out.append((int(self.items.ids[number]), best, best / (MATCH * len(passage)), b - back, b))
         return out
 
 
-def _seed_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
+def _blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
     small_batches(docs.sparkSession)
-    for items in benchmark_blocks(benchmark):
-        yield seeds_of(items, gram_frequencies(docs, items))
+    yield from benchmark_blocks(benchmark)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -204,11 +231,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc_id long, item_id long, score long, ratio double, first_word long, end_word long"
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def searcher(seeds: Items):
+    def searcher(items: Items):
         def search(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            aligner = Aligner(seeds)
+            aligner = Aligner(items)
             for batch in batches:
                 rows = [
                     (i, *match)
@@ -225,19 +252,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return search
 
     found = docs.sparkSession.createDataFrame([], schema)
-    for seeds in _seed_blocks(plain, benchmark):
-        found = found.unionByName(plain.mapInArrow(searcher(seeds), schema))
+    for items in _blocks(plain, benchmark):
+        found = found.unionByName(plain.mapInArrow(searcher(items), schema))
     return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item is found, with all their columns."""
 
-    def sifter(seeds: Items):
+    def sifter(items: Items):
         def sift(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            aligner = Aligner(seeds)
+            aligner = Aligner(items)
             for batch in batches:
                 clean = [not aligner.matches(text) for text in utf8(batch.column("text"))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
@@ -245,8 +272,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return sift
 
     clean = docs
-    for seeds in _seed_blocks(docs, benchmark):
-        clean = clean.mapInArrow(sifter(seeds), docs.schema)
+    for items in _blocks(docs, benchmark):
+        clean = clean.mapInArrow(sifter(items), docs.schema)
     return clean
 
 
