@@ -28,12 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class of near duplicates.
+    """Keeps the document with the smallest id of each class of near duplicates (five words, 80 %).
 
     Of rows that share a ``doc_id`` the one with the smallest text stays; rows
     without a ``doc_id`` stay.
     """
-    classes = jaccard_classes(docs)[0]
+    classes = jaccard_classes(docs, shingle=5, percent=80)[0]
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
     ranked = docs.join(first, "doc_id", "left_semi").withColumn(
         "_rank", F.row_number().over(W.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))

@@ -1,5 +1,7 @@
 """The pipeline's stages against brute force on the smallest tables."""
 
+import random
+
 import public_tokenizers  # noqa: F401  the operators' tokenizer files are installed
 import pytest
 
@@ -44,6 +46,28 @@ def test_one_document_of_each_class(staged):
     assert all(after[i] == before[i] for i in after)
 
 
+def test_near_copies_are_taken_out_at_five_words_and_80_percent(spark, docs_of):
+    draw = random.Random(6)
+    docs = []
+    for _ in range(12):
+        base = [f"w{draw.randint(0, 5000)}" for _ in range(draw.choice([60, 150, 400]))]
+        docs.append(" ".join(base))
+        for per_mille in (5, 12, 20, 40, 80):
+            words = list(base)
+            for at in draw.sample(range(len(words)), max(1, len(words) * per_mille // 1000)):
+                words[at] = "edit"
+            docs.append(" ".join(words))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, docs)]
+    root = list(range(len(docs)))
+    for b in range(len(docs)):
+        for a in range(b):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    kept = {r.doc_id for r in C.one_of_each(spark, docs_of(docs), SMALL).collect()}
+    assert kept == set(root) and len(kept) < len({r for _, r in brute(list(enumerate(docs))).values()})
+
+
 def test_no_benchmark_passage_is_left(spark, staged):
     items = [r.text.encode() for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if r.text]
 
