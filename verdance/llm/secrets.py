@@ -141,7 +141,8 @@ def _spans_of(matches: str, pieces: str, kind: int, ok: Column) -> Column:
 def find_spans(docs: DataFrame, model: Markov, text: str = "text") -> DataFrame:
     """Adds ``spans``: ``(start, kind, end)`` sorted, ``kind`` an index into ``KINDS``.
 
-    A missing text counts as empty.  Markov spans never overlap base spans.
+    A missing text counts as empty.  Markov spans never overlap base spans: what
+    base spans leave of a run is judged, if it is long enough.
     """
     given = list(docs.columns)
     body = F.coalesce(F.col(text), F.lit(""))
@@ -172,20 +173,43 @@ def find_spans(docs: DataFrame, model: Markov, text: str = "text") -> DataFrame:
         "assign": F.transform("_values", lambda v: F.length(v) >= LEAST_VALUE),
         "access": F.transform("_found_access", lambda v: F.lit(True)),
         "hex": F.transform("_found_hex", lambda v: F.lit(True)),
-        "markov": F.transform("_found_markov", random),
+        "markov": F.transform("_found_markov", lambda v: F.lit(True)),
     }
     flags = arrays.select("*", *[c.alias(f"_ok_{kind}") for kind, c in ok.items()])
     kinds = flags.select(
-        *given,
+        *given, "_found_markov",
         *[_spans_of(f"_found_{k}", f"_gaps_{k}", i, F.col(f"_ok_{k}")).alias(f"_spans_{k}") for i, k in enumerate(KINDS)],
     )
     base = F.array_sort(F.concat(*[F.col(f"_spans_{k}") for k in PATTERNS]))
-    based = kinds.select(*given, "_spans_markov", base.alias("_base"))
-    apart = F.filter(
-        "_spans_markov",
-        lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    return based.select(*given, F.array_sort(F.concat("_base", apart)).alias("spans"))
+    based = kinds.select(*given, "_found_markov", "_spans_markov", base.alias("_base"))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(KINDS.index("markov")).alias("kind"), end.alias("end"))
+
+    def left_of(s: Column, i: Column) -> Column:
+        """Pieces of a run between base spans, with their characters."""
+
+        def step(acc: Column, b: Column) -> Column:
+            gap = F.concat(acc["out"], F.array(span(acc["pos"], b["start"])))
+            return F.struct(
+                F.greatest(acc["pos"], b["end"]).alias("pos"),
+                F.when(b["start"] > acc["pos"], gap).otherwise(acc["out"]).alias("out"),
+            )
+
+        within = F.filter("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        nothing = F.struct(s["start"].alias("pos"), F.array().cast(_SPANS).alias("out"))
+        gaps = F.aggregate(within, nothing, step, lambda acc: F.concat(acc["out"], F.array(span(acc["pos"], s["end"]))))
+        run = F.get(F.col("_found_markov"), i)
+        return F.transform(
+            F.filter(gaps, lambda g: g["end"] - g["start"] >= LEAST_RUN),
+            lambda g: F.struct(
+                g.alias("span"), F.substr(run, g["start"] - s["start"] + 1, g["end"] - g["start"]).alias("token")
+            ),
+        )
+
+    pieces = based.select(*given, "_base", F.flatten(F.transform("_spans_markov", left_of)).alias("_pieces"))
+    judged = F.transform(F.filter("_pieces", lambda x: random(x["token"])), lambda x: x["span"])
+    return pieces.select(*given, F.array_sort(F.concat("_base", judged)).alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:
