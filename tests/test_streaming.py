@@ -1,15 +1,20 @@
 """Streams in several batches and over a restart equal the batch result."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from verdance import schemas
+from tests.conftest import SMALL
+from verdance import registry_files, schemas
 from verdance.operators import anomalies as A
 from verdance.operators import pixels as P
 from verdance.operators import veglog as VL
+from verdance.registry import QUERIES
+from verdance.session import shared_dir
+from verdance.sources import driver_tables as D
 from verdance.streaming import rolling_log as RL
 from verdance.streaming import scene_results as SR
 from verdance.streaming.versions import latest_rows, latest_version, run_available, write_version
@@ -149,3 +154,23 @@ def test_alerts_of_other_areas_stay(spark, tmp_path, log_of):
     RL.advance_alerts(second, 1, out)
     got = latest_version(spark, f"{out}/alerts")
     assert {r.aoi_id for r in got.collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize("name", ["period_stats_late", "rolling_last20_batches", "alerts_batches"])
+def test_streamed_tables_are_written_in_as_many_files_as_they_have_parts(spark, tmp_path, monkeypatch, name):
+    spark.read.parquet(f"{SMALL}/events.parquet").repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(D, "table", lambda spark, sf, table: spark.read.parquet(f"{tmp_path if table == 'events' else sf}/{table}.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    made = []
+    monkeypatch.setattr(registry_files, "shared_dir", lambda s, purpose: made.append(shared_dir(s, purpose)) or made[-1])
+    try:
+        rows = rows_of(QUERIES[name](spark, SMALL))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    monkeypatch.undo()
+    assert rows == rows_of(QUERIES[name](spark, SMALL))
+    path = next(p for p in made if "events-" in p)
+    assert len(spark.read.parquet(path).inputFiles()) > 5
+    if name == "rolling_last20_batches":
+        progress = next(p for p in made if "rolling-log-" in p) + "/progress/commits"
+        assert sorted(f for f in os.listdir(progress) if f.isdigit()) == ["0", "1", "2", "3"]

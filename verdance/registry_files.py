@@ -6,6 +6,7 @@ They belong to ``registry``, which imports this module.
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,8 +151,10 @@ def _(spark, sf):
 def _in_batches(spark: SparkSession, sf: str, batches: int = 4) -> DataFrame:
     """The log of events as a stream of so many micro-batches."""
     path, events = shared_dir(spark, "events"), D.table(spark, sf, "events")
-    events.repartition(batches).write.parquet(path)
-    return D.log_stream(SR.read_stream(spark, path, events.schema, files_per_batch=1))
+    # As many tasks as the table's scan has, dealt evenly to the micro-batches.
+    files = math.ceil(events.rdd.getNumPartitions() / batches)
+    events.repartition(batches * files).write.parquet(path)
+    return D.log_stream(SR.read_stream(spark, path, events.schema, files_per_batch=files))
 
 
 @query("rolling_last20_batches", _ROLLING, "SELECT * FROM rolling", "rolling")
@@ -216,10 +219,11 @@ def _(spark, sf):
     # The watermark of a batch is that of the batches before it.
     first, second = ~late & (F.col("ts") != F.lit(newest)), ~late & (F.col("ts") == F.lit(newest))
     for part in (events.where(first), events.where(second), events.where(late)):
-        part.coalesce(1).write.mode("append").parquet(path)
-    stream = D.log_stream(SR.read_stream(spark, path, events.schema, files_per_batch=1))
-    stream = stream.withColumn("arrived_at", F.col("arrived_at").cast("timestamp"))
-    run_available(SR.period_stats_writer(stream, f"{base}/stats", f"{base}/progress", _PERIOD_DAYS, f"{_LATE_DAYS} days"))
+        part.write.mode("append").parquet(path)
+        # All files of the part are one batch; the checkpoint hands the watermark on.
+        stream = D.log_stream(SR.read_stream(spark, path, events.schema))
+        stream = stream.withColumn("arrived_at", F.col("arrived_at").cast("timestamp"))
+        run_available(SR.period_stats_writer(stream, f"{base}/stats", f"{base}/progress", _PERIOD_DAYS, f"{_LATE_DAYS} days"))
     rows = latest_rows(spark, f"{base}/stats", ["period_start", "aoi_id"])
     return rows.withColumn("period_start", F.to_date("period_start").cast("string"))
 
