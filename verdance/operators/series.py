@@ -19,6 +19,8 @@ all others.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,15 +46,15 @@ def _blocked(log: DataFrame) -> DataFrame:
     return log.withColumn("_block", F.shiftright("seq", BLOCK_BITS))
 
 
-def _in_block() -> Column:
+def _in_block(block: Sequence[str] = BLOCK) -> Column:
     """Position of an entry in its block, from 0."""
-    return F.row_number().over(W.partitionBy(*BLOCK).orderBy("seq")) - 1
+    return F.row_number().over(W.partitionBy(*block).orderBy("seq")) - 1
 
 
-def log_overview(log: DataFrame) -> DataFrame:
+def log_overview(log: DataFrame, keys: Sequence[str] = ("aoi_id",)) -> DataFrame:
     """Count, dates and descriptive statistics per area: one hash aggregate."""
     y = F.col("ndvi_mean")
-    return log.groupBy("aoi_id").agg(
+    return log.groupBy(*keys).agg(
         F.count("*").alias("entries"),
         F.count(y).alias("n_obs"),
         F.min("date").alias("first_date"),
@@ -64,17 +66,18 @@ def log_overview(log: DataFrame) -> DataFrame:
     )
 
 
-def _position_products(log: DataFrame) -> DataFrame:
+def _position_products(log: DataFrame, keys: Sequence[str] = ("aoi_id",)) -> DataFrame:
     """Sums over an area's observations of position, its square, NDVI and their product.
 
     Inside a block the position counts from the block's start; the entries in
     earlier blocks are added for the block as a whole.
     """
+    block = [*keys, "date", "_block"]
     y, i = F.col("ndvi_mean"), F.when(F.col("ndvi_mean").isNotNull(), F.col("_i")).cast("double")
     blocks = (
         _blocked(log)
-        .select(*BLOCK, "ndvi_mean", _in_block().alias("_i"))
-        .groupBy(*BLOCK)
+        .select(*block, "ndvi_mean", _in_block(block).alias("_i"))
+        .groupBy(*block)
         .agg(
             F.count("*").alias("_n"),
             F.count(y).alias("_m"),
@@ -84,9 +87,14 @@ def _position_products(log: DataFrame) -> DataFrame:
             F.coalesce(F.sum(i * i), F.lit(0.0)).alias("_ixx"),
         )
     )
-    located = block_offsets(blocks, ["aoi_id"], ["date", "_block"], "_n", "_before")
+    return _shifted_products(blocks, keys, ["date", "_block"])
+
+
+def _shifted_products(blocks: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Products of whole series from those of its blocks, whose positions count from the block's start."""
+    located = block_offsets(blocks, keys, order, "_n", "_before")
     before = F.col("_before").cast("double")
-    return located.groupBy("aoi_id").agg(
+    return located.groupBy(*keys).agg(
         F.sum(before * F.col("_sum") + F.col("_iy")).alias("_xy"),
         F.sum(before * F.col("_m") + F.col("_ix")).alias("_x"),
         F.sum(before * before * F.col("_m") + 2 * before * F.col("_ix") + F.col("_ixx")).alias("_xx"),
@@ -94,12 +102,46 @@ def _position_products(log: DataFrame) -> DataFrame:
     )
 
 
+def block_partials(log: DataFrame, block: str) -> DataFrame:
+    """One row per area and block of its series, from which ``merged_summary`` forms the whole."""
+    keys = ["aoi_id", block]
+    products = _position_products(log, keys).select(
+        *keys, F.col("_y").alias("_sum"), F.col("_xy").alias("_iy"), F.col("_x").alias("_ix"), F.col("_xx").alias("_ixx")
+    )
+    squares = (F.var_pop("ndvi_mean") * F.count("ndvi_mean")).alias("_squares")
+    spread = log.groupBy(*keys).agg(F.coalesce(squares, F.lit(0.0)).alias("_squares"))
+    return null_safe_join(null_safe_join(log_overview(log, keys), products, keys), spread, keys)
+
+
+def merged_summary(partials: DataFrame, block: str) -> DataFrame:
+    """``series_summary`` of series whose blocks are summarised: only offsets of blocks are formed anew."""
+    keys = ["aoi_id"]
+    blocks = partials.withColumns({"_n": F.col("entries"), "_m": F.col("n_obs")})
+    total = partials.groupBy(*keys).agg((F.sum("_sum") / F.sum("n_obs")).alias("_mean"))
+    off = F.coalesce(F.col("n_obs") * (F.col("mean") - F.col("_mean")) ** 2, F.lit(0.0))
+    overview = null_safe_join(partials, total, keys).groupBy(*keys).agg(
+        F.sum("entries").alias("entries"),
+        F.sum("n_obs").alias("n_obs"),
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
+        F.first("_mean").alias("mean"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.sqrt(F.try_divide(F.sum(F.col("_squares") + off), F.sum("n_obs") - 1)).alias("std"),
+    )
+    return _summary(overview, _shifted_products(blocks, keys, [block]))
+
+
 def series_summary(log: DataFrame) -> DataFrame:
     """One row per area: n, dates, mean, min, max, sample std, trend.
 
     The trend columns are NULL below three observations, ``r_squared`` also for a
     constant series.
     """
+    return _summary(log_overview(log), _position_products(log))
+
+
+def _summary(overview: DataFrame, products: DataFrame) -> DataFrame:
     n = F.col("n_obs").cast("double")
     middle = F.try_divide(F.col("_x"), n)
     sxx = F.col("_xx") - middle * F.col("_x")
@@ -108,7 +150,7 @@ def series_summary(log: DataFrame) -> DataFrame:
     varies = F.col("min") < F.col("max")
     enough = F.col("n_obs") >= MIN_TREND
     return (
-        null_safe_join(log_overview(log), _position_products(log), ["aoi_id"])
+        null_safe_join(overview, products, ["aoi_id"])
         .withColumns(
             {
                 "slope": F.when(enough, F.when(varies, sxy / sxx).otherwise(0.0)),

@@ -21,9 +21,9 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.parquet(path)
 
 
-def _changed_rows_writer(changes: DataFrame, base: str, checkpoint: str) -> DataStreamWriter:
+def _changed_rows_writer(changes: DataFrame, base: str, checkpoint: str, keys: Sequence[str]) -> DataStreamWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, base, batch_id)
+        write_version(batch, base, batch_id, keys)
 
     return (
         changes.writeStream.outputMode("update")
@@ -48,7 +48,7 @@ def scene_stats_writer(
     if late is not None:
         day = F.col("scene_date").cast("timestamp")
         pixels = pixels.withColumn("scene_date", day).withWatermark("scene_date", late)
-    return _changed_rows_writer(scene_stats(pixels, keys), base, checkpoint)
+    return _changed_rows_writer(scene_stats(pixels, keys), base, checkpoint, keys)
 
 
 def period_stats(entries: DataFrame, days: int = STRIDE_DAYS, late: str | None = None) -> DataFrame:
@@ -72,4 +72,4 @@ def period_stats_writer(
         F.col("period.end").alias("period_end"),
         "aoi_id", "scenes", "ndvi_mean", "ndvi_min", "ndvi_max",
     )
-    return _changed_rows_writer(stats, base, checkpoint)
+    return _changed_rows_writer(stats, base, checkpoint, ["period_start", "aoi_id"])
