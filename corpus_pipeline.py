@@ -35,10 +35,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     classes = jaccard_classes(docs, shingle=5, percent=80)[0]
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
-    ranked = docs.join(first, "doc_id", "left_semi").withColumn(
-        "_rank", F.row_number().over(W.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    )
-    kept = ranked.where("_rank = 1").drop("_rank").select(*docs.columns)
+    # The row is one column, so that no column of the documents can clash.
+    row = F.struct(*docs.columns).alias("row")
+    order = W.partitionBy("doc_id").orderBy(F.col("row.text").asc_nulls_last())
+    ranked = docs.select("doc_id", row).join(first, "doc_id", "left_semi").withColumn("place", F.row_number().over(order))
+    kept = ranked.where("place = 1").select("row.*")
     return kept.unionByName(docs.where("doc_id is null"))
 
 
