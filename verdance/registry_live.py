@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdance.operators import crop as CR
+from verdance.operators import forecast as FC
+from verdance.operators import intervals as IV
 from verdance.operators import pixels as PX
+from verdance.operators import scenes as SC
 from verdance.oracle_views import VIEWS, Views
-from verdance.registry import _TILE_VIEWS, QUERIES, query
+from verdance.registry import _OLS_SQL, _TILE_VIEWS, MODEL_AS_OF, QUERIES, query
 from verdance.registry_files import _LATE_DAYS, _PERIOD_DAYS, _in_batches
-from verdance.session import shared_dir
+from verdance.session import materialise, shared_dir
 from verdance.sources import driver_tables as D
+from verdance.sources import files as S
 from verdance.streaming import assembly as AS
 from verdance.streaming import corrections as CO
 from verdance.streaming import scene_results as SR
@@ -69,6 +73,54 @@ def _(spark, sf):
     return PX.scene_stats(cropped, ("area", "scene_id", "scene_date"))
 
 
+def _holed_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """A square of six degrees with a hole of three per supplier."""
+    key = F.col("s_suppkey")
+    x, y = (key * 607) % 6000 + 0.5, (key * 911) % 4000 + 0.5
+
+    def square(offset: int, size: int):
+        corners = [(0, 0), (size, 0), (size, size), (0, size), (0, 0)]
+        return F.array(
+            *[F.struct(((x + offset + a) / 100).alias("lon"), ((y + offset + b) / 100).alias("lat")) for a, b in corners]
+        )
+
+    return D.table(spark, sf, "supplier").select(key.alias("area"), F.array(square(0, 600), square(150, 300)).alias("rings"))
+
+
+@query(
+    "scenes_over_holed_areas",
+    "scene_id:varchar area:bigint",
+    """SELECT cast(scene_id AS varchar) AS scene_id, s_suppkey AS area
+       FROM (SELECT scene_id, part, (scene_id * 37 + part * 450) % 6000 AS x, (scene_id * 53) % 4000 AS y
+             FROM scenes, range(0, 2) r(part) WHERE part = 0 OR scene_id % 3 = 0) s
+       JOIN (SELECT s_suppkey, (s_suppkey * 607) % 6000 AS ax, (s_suppkey * 911) % 4000 AS ay FROM supplier)
+         ON x <= ax + 600 AND x + 100 > ax AND y <= ay + 600 AND y + 100 > ay
+        AND NOT (x > ax + 150 AND x + 100 <= ax + 450 AND y > ay + 150 AND y + 100 <= ay + 450)
+       GROUP BY ALL""",
+    "scenes",
+)
+def _(spark, sf):
+    """Catalogue items, every third a MultiPolygon, with the areas that they do not lie in a hole of."""
+    key = F.col("scene_id")
+
+    def corners(part: int):
+        x, y = (key * 37 + part * 450) % 6000, (key * 53) % 4000
+        points = [(0, 0), (100, 0), (100, 100), (0, 100), (0, 0)]
+        return F.array(F.array(*[F.array((x + a) / F.lit(100.0), (y + b) / F.lit(100.0)) for a, b in points]))
+
+    many = key % 3 == 0
+    coordinates = F.when(many, F.to_json(F.array(corners(0), corners(1)))).otherwise(F.to_json(corners(0)))
+    kind = F.when(many, "MultiPolygon").otherwise("Polygon")
+    item = F.format_string(
+        '{"id": "%s", "collection": "c", "properties": {}, "assets": {}, "geometry": {"type": "%s", "coordinates": %s}}',
+        key.cast("string"), kind, coordinates,
+    )
+    path = shared_dir(spark, "items")
+    D.scenes(spark, sf).select(item).write.text(path)
+    found = SC.scenes_over_aoi(S.read_stac_items(spark, path), _holed_areas(spark, sf), cell=4.0)
+    return found.select("scene_id", "area")
+
+
 # --- streams ---------------------------------------------------------------------
 
 
@@ -179,3 +231,95 @@ def _(spark, sf):
     for number, batch in enumerate(batches):
         SB.advance_sums(batch.withColumn("revision", F.lit(number)), number, base, [], "precipitation")
     return SB.running_sums(spark, base, [], "precipitation", "cumulative_precip")
+
+
+# --- intervals and models ----------------------------------------------------------
+
+
+@query(
+    "best_scene_per_interval",
+    "aoi_id:bigint period:int start_date:date end_date:date scene_id:bigint cloud_cover:double",
+    """SELECT p.*, s.scene_id, s.cloud_cover
+       FROM (SELECT aoi_id, i AS period, date '1992-01-01' + cast((aoi_id * 37 + i * 211) % 2300 AS integer) AS start_date,
+                    date '1992-01-01' + cast((aoi_id * 37 + i * 211) % 2300 + (aoi_id * 53 + i * 97) % 900 AS integer) AS end_date
+             FROM (SELECT DISTINCT aoi_id FROM scenes), range(0, 40) r(i)) p
+       LEFT JOIN suitable s ON s.aoi_id = p.aoi_id AND cast(s.datetime AS date) BETWEEN p.start_date AND p.end_date
+       QUALIFY row_number() OVER (PARTITION BY p.aoi_id, p.period ORDER BY s.cloud_cover, s.datetime, s.scene_id) = 1""",
+    ("scenes", "suitable"),
+)
+def _(spark, sf):
+    """Forty overlapping periods of 1 to 900 days per area, as a table."""
+    scenes = D.scenes(spark, sf)
+    periods = scenes.select("aoi_id").distinct().withColumn("period", F.explode(F.sequence(F.lit(0), F.lit(39))))
+    offset = ((F.col("aoi_id") * 37 + F.col("period") * 211) % 2300).cast("int")
+    length = ((F.col("aoi_id") * 53 + F.col("period") * 97) % 900).cast("int")
+    first = F.lit("1992-01-01").cast("date")
+    periods = periods.withColumns({"start_date": F.date_add(first, offset), "end_date": F.date_add(first, offset + length)})
+    return IV.best_scene_per_interval(scenes, periods)
+
+
+_TRAINING_DAYS = 2400
+_LABELLED: Views = {
+    **VIEWS,
+    "labelled": (
+        ("veglog", "climate"),
+        f"""SELECT v.aoi_id, v.date, c.temperature_avg AS t, c.precipitation AS p, c.humidity AS h, l.label AS y,
+                   datediff('day', date '1970-01-01', v.date) % {FC.HELD_OUT_EVERY} = 0 AS held
+            FROM veglog v JOIN climate c ON v.date = c.date
+            JOIN (SELECT d.aoi_id, d.date, n.label
+                  FROM (SELECT DISTINCT aoi_id, date FROM veglog) d
+                  JOIN (SELECT aoi_id, date, avg(ndvi_mean) AS label FROM veglog GROUP BY aoi_id, date) n
+                    ON n.aoi_id = d.aoi_id AND abs(datediff('day', d.date + 30, n.date)) <= {FC.TOLERANCE_DAYS}
+                  QUALIFY row_number() OVER (PARTITION BY d.aoi_id, d.date
+                                             ORDER BY abs(datediff('day', d.date + 30, n.date)), n.date) = 1) l
+              ON l.aoi_id = v.aoi_id AND l.date = v.date
+            WHERE v.date BETWEEN date '{MODEL_AS_OF}' - {_TRAINING_DAYS} AND date '{MODEL_AS_OF}'""",
+    ),
+    "moments": (
+        ("labelled",),
+        """SELECT aoi_id, count(*) AS n, avg(t) AS m1, avg(p) AS m2, avg(h) AS m3, avg(y) AS my,
+                  covar_pop(t, t) AS s11, covar_pop(p, p) AS s22, covar_pop(h, h) AS s33, covar_pop(t, p) AS s12,
+                  covar_pop(t, h) AS s13, covar_pop(p, h) AS s23, covar_pop(t, y) AS y1, covar_pop(p, y) AS y2, covar_pop(h, y) AS y3
+           FROM labelled WHERE NOT held GROUP BY aoi_id""",
+    ),
+    "fitted": (
+        ("moments",),
+        """SELECT *, my - b1 * m1 - b2 * m2 - b3 * m3 AS b0
+           FROM (SELECT *, (y1 * (s22 * s33 - s23 * s23) - s12 * (y2 * s33 - s23 * y3) + s13 * (y2 * s23 - s22 * y3)) / det AS b1,
+                        (s11 * (y2 * s33 - y3 * s23) - y1 * (s12 * s33 - s23 * s13) + s13 * (s12 * y3 - y2 * s13)) / det AS b2,
+                        (s11 * (s22 * y3 - s23 * y2) - s12 * (s12 * y3 - y2 * s13) + y1 * (s12 * s23 - s22 * s13)) / det AS b3
+                 FROM (SELECT *, CASE WHEN n > 3 AND s11 * s22 * s33 > 0 THEN nullif(s11 * (s22 * s33 - s23 * s23)
+                                 - s12 * (s12 * s33 - s23 * s13) + s13 * (s12 * s23 - s22 * s13), 0) END AS det FROM moments))""",
+    ),
+}
+
+
+@query(
+    "ndvi_regression_by_area",
+    "aoi_id:bigint n:bigint temperature_avg:r6 precipitation:r6 humidity:r6 intercept:r6 held_out:bigint held_out_rmse:r6",
+    """SELECT f.aoi_id, f.n, b1 AS temperature_avg, b2 AS precipitation, b3 AS humidity, b0 AS intercept,
+              coalesce(held_out, 0) AS held_out, held_out_rmse
+       FROM fitted f LEFT JOIN (
+         SELECT l.aoi_id, count(*) AS held_out, sqrt(avg(power(y - b0 - b1 * t - b2 * p - b3 * h, 2))) AS held_out_rmse
+         FROM labelled l JOIN fitted g ON g.aoi_id = l.aoi_id WHERE held GROUP BY l.aoi_id) e ON e.aoi_id = f.aoi_id""",
+    ("labelled", "fitted"),
+    _LABELLED,
+)
+def _(spark, sf):
+    """A model per area over its history, with the NDVI nearest to thirty days later, and its error on every fifth day."""
+    rows = FC.training_rows(D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=_TRAINING_DAYS, bounded=True)
+    return FC.fit_by_area(rows)
+
+
+@query(
+    "ndvi_regression_nearest",
+    "term:varchar coefficient:r6",
+    _OLS_SQL[: _OLS_SQL.index("FROM (SELECT c.temperature_avg")] + "FROM labelled)))",
+    "labelled",
+    _LABELLED,
+)
+def _(spark, sf):
+    """One model of all areas with the default horizon and tolerance; a default period of these tables,
+    whose entries are monthly, holds too few climate days for a solution."""
+    rows = FC.training_rows(D.stored_log(spark, sf), D.climate(spark, sf), MODEL_AS_OF, training_days=_TRAINING_DAYS, bounded=True)
+    return FC.coefficients(spark, FC.fit(materialise(rows, "training-rows")))
