@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from verdance.llm import decontaminate as D
 
@@ -31,7 +32,7 @@ def words(draw, n, tag):
 
 
 def planted(seed):
-    """Items, and documents with a whole, edited, partial or no copy of one."""
+    """Items, and documents with a whole, edited, partial or no copy of one; what to find is the alignment's word."""
     draw = random.Random(seed)
     items = [words(draw, draw.choice([6, 15, 40, 120]), "t") for _ in range(12)]
     docs, want = [], {}
@@ -46,9 +47,11 @@ def planted(seed):
                 passage[at : at + 1] = draw.choice([[], ["edit"], ["two", "words"]])
         if kind < 2:
             body[10:10] = passage
-            want[i] = item
         if kind == 2:
             body[5:5] = passage[: len(passage) // 4]
+        for number, words_of in enumerate(items):
+            if smith_waterman(words_of, body) >= max(min(len(words_of), 60), 2 * min(3, len(words_of))):
+                want[i] = number
         docs.append((i, (" \n" if i % 3 else " ").join(body).upper() if i % 5 == 0 else " ".join(body)))
     return items, docs, want
 
@@ -67,8 +70,9 @@ def test_whole_and_edited_copies_are_found_and_others_left(spark, docs_of):
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - set(want)
 
 
-def test_edited_copies_equal_alignment_of_all_pairs(spark, docs_of):
-    draw = random.Random(4)
+def edited_copies(seed):
+    """Items, texts with edited copies of them, and the scores of alignments of all pairs that count."""
+    draw = random.Random(seed)
     tags = ["t", "t", "t", "u", "s", "s"]
     items = [[f"{tag}{draw.randint(0, 60 if tag == 's' else 400)}" for _ in range(n)] for tag, n in zip(tags, (38, 59, 15, 120, 38, 4))]
     texts = []
@@ -85,7 +89,6 @@ def test_edited_copies_equal_alignment_of_all_pairs(spark, docs_of):
             for _ in range(4):
                 pool = draw.choice([["d1", "d2", "d3"], sum(items, [])])
                 texts.append(" ".join(draw.choices(pool, k=draw.randint(0, 200)) + edited + draw.choices(pool, k=90)))
-    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)
     hashed = [D.word_hashes(" ".join(w).encode()) for w in items]
     want = {}
     for doc, text in enumerate(texts):
@@ -93,18 +96,25 @@ def test_edited_copies_equal_alignment_of_all_pairs(spark, docs_of):
             score = D.align(words, D.word_hashes(text.encode()))[0]
             if score >= max(min(len(words), 60), 2 * min(3, len(words))):
                 want[doc, item] = score
-    found = D.find_contamination(docs_of(texts), bench).collect()
+    return items, texts, want
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_edited_copies_equal_alignment_of_all_pairs(spark, docs_of, exact):
+    items, texts, want = edited_copies(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)
+    found = D.find_contamination(docs_of(texts), bench, exact).collect()
     assert {(r.doc_id, r.item_id): r.score for r in found} == want and len(found) == len(want)
 
 
 def test_blocks_change_nothing(spark, docs_of, monkeypatch):
     items, docs, want = planted(9)
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)
-    one = sorted(map(tuple, D.find_contamination(docs_of(docs), bench).collect()))
+    one = sorted(map(tuple, D.find_contamination(docs_of(docs), bench, exact=True).collect()))
     blocks = list(D.benchmark_blocks(bench, 60))
     assert len(blocks) > 3 and sum(len(b.ids) for b in blocks) == 12
     monkeypatch.setattr(D, "benchmark_blocks", lambda b: iter(blocks))
-    assert sorted(map(tuple, D.find_contamination(docs_of(docs), bench).collect())) == one
+    assert sorted(map(tuple, D.find_contamination(docs_of(docs), bench, exact=True).collect())) == one
 
 
 def test_a_passage_in_very_many_documents_is_found(spark, docs_of):
@@ -115,12 +125,34 @@ def test_a_passage_in_very_many_documents_is_found(spark, docs_of):
     assert D.find_contamination(docs_of(docs), bench).count() == 300
 
 
-def test_frequencies_are_of_documents(docs_of):
-    items = D.items_of([(1, b"a b c d"), (2, b"b c d")])
-    counts = D.gram_frequencies(docs_of(["a b c a b c", "x a b c", "b c d", None]), items)
-    known = np.unique(items.gram)
-    name = {int(D.shingle_hashes(D.word_hashes(t), 3)[0]): t for t in (b"a b c", b"b c d")}
-    assert {name[int(known[g])]: n for g, n in counts.items()} == {b"a b c": 2, b"b c d": 1}
+def test_seeds_are_the_rarest_pairs_that_occur(spark, docs_of, monkeypatch):
+    """Pairs at a distance of one or two; those of no document are no seeds."""
+    monkeypatch.setattr(D, "SHORT_ITEM", 1)
+    items = spark.createDataFrame([(1, 1, "a b c d e f"), (2, 2, "x")], "item long, item_id long, text string")
+    grams = D.item_grams(items)
+    docs = docs_of(["a b q q", "a b c", "c z d", "x x", "e f", "e f", "A  B", None])
+    text = D.Plain([b"a b c d e f", b"x"])
+    name = {}
+    for distance, at, h in text.seeds():
+        for i, g in zip(at.tolist(), h.view("int64").tolist()):
+            name[g] = (text.phrase(i, 1), text.phrase(i + distance, 1)) if distance else text.phrase(i, 1)
+    known = spark.sparkContext.broadcast(D.gram_bitmap(grams))
+    counts = {name[r.gram]: r.docs for r in D.gram_counts(docs, known).collect() if r.gram in name}
+    assert {k: n for k, n in counts.items() if isinstance(k, tuple) or k == "x"} == {
+        ("a", "b"): 3, ("b", "c"): 1, ("a", "c"): 1, ("c", "d"): 1, ("e", "f"): 2, "x": 1,
+    }
+    seeds = {(name[r.gram], r.item) for r in D.choose_seeds(grams, D.gram_counts(docs, known)).collect()}
+    # Windows of three words: the rarest two that begin in each.
+    assert {s for s in seeds if s[1] == 2} == {("x", 2)} and len(seeds) == 4
+    assert {("e", "f")} < {s[0] for s in seeds if s[1] == 1} < {("b", "c"), ("a", "c"), ("c", "d"), ("e", "f")}
+
+
+def test_recall_of_seeds_against_alignment_of_all_pairs(spark, docs_of):
+    items, texts, want = edited_copies(11)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)
+    found = {(r.doc_id, r.item_id): r.score for r in D.find_contamination(docs_of(texts), bench).collect()}
+    assert found.items() <= want.items()
+    assert len(found) >= 0.99 * len(want)
 
 
 def test_awkward_rows(spark, awkward):

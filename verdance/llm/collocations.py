@@ -57,14 +57,14 @@ def _byte_class() -> np.ndarray:
 _CLASS = _byte_class()
 
 
-def _letters(salt: int) -> np.ndarray:
+def byte_numbers(salt: int, kinds: np.ndarray = _CLASS) -> np.ndarray:
     """A number per byte, the same for A-Z and a-z, none for bytes outside words."""
     codes = np.arange(256)
     lower = np.where((codes >= 65) & (codes <= 90), codes + 32, codes).astype(np.uint64)
-    return np.where(_CLASS == 0, mixed((lower + np.uint64(1)) * _STEP + np.uint64(salt)), np.uint64(0))
+    return np.where(kinds == 0, mixed((lower + np.uint64(1)) * _STEP + np.uint64(salt)), np.uint64(0))
 
 
-_LETTERS = tuple(map(_letters, (1, 2)))
+_LETTERS = tuple(map(byte_numbers, (1, 2)))
 
 
 class Powers:
@@ -88,10 +88,13 @@ _POWERS = tuple(map(Powers, _BASES))
 class Text:
     """Words of some texts as places in one run of bytes; ``left`` counts words to the piece's end."""
 
+    #: Kinds of bytes, and numbers of those in words for two hash functions.
+    kinds, letters = _CLASS, _LETTERS
+
     def __init__(self, texts: list[bytes]):
         self.bytes = b"\n".join(texts)
         self.data = np.frombuffer(self.bytes, np.uint8)
-        kind = _CLASS[self.data]
+        kind = self.kinds[self.data]
         inside = np.zeros(len(kind) + 2, np.int8)
         inside[1:-1] = kind == 0
         edge = np.diff(inside)
@@ -107,7 +110,7 @@ class Text:
     def hashes(self, number: int = 0) -> np.ndarray:
         """Hashes of the words by one of two hash functions, a stretch of ``CHUNK`` bytes at a time."""
         out, i = np.empty(len(self), np.uint64), 0
-        letters, powers = _LETTERS[number], _POWERS[number]
+        letters, powers = self.letters[number], _POWERS[number]
         while i < len(self):
             at = int(self.start[i])
             j = max(i + 1, int(np.searchsorted(self.end, at + CHUNK, side="right")))
@@ -322,12 +325,15 @@ def survivors(summaries: DataFrame, least: int, partition_bits: int) -> bytes:
     return bytes(bits)
 
 
-def exact_counts(texts: DataFrame, short, long) -> DataFrame:
-    """``lang, n_words, phrase, f`` of n-grams in the bitmaps, and all words (``n_words`` 0, no phrase).
+def exact_counts(texts: DataFrame, short, long, least: int, partition_bits: int) -> DataFrame:
+    """``lang, n_words, phrase, f`` of n-grams in the bitmaps with ``f >= least``, and all words.
 
-    A task combines by hash before it sends text; a second hash tells apart
-    n-grams that share the first.
+    The number of all words has ``n_words`` 0 and no phrase.  A task combines by
+    hash before it sends text; a second hash tells apart n-grams that share the
+    first.  Phrases of a hash partition travel in one row per stretch of text,
+    and are counted by their text.
     """
+    shift = np.uint64(64 - partition_bits)
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -336,7 +342,7 @@ def exact_counts(texts: DataFrame, short, long) -> DataFrame:
         for lang, some in by_language(batches):
             text, seed = Text(some), language_seed(lang)
             first, second = text.hashes(0), text.hashes(1)
-            sizes, phrases, counts = [0], [None], [len(text)]
+            rows = [(0, "", packed(np.array([len(text)])))]
             for n, at, h in grams(first, text.left, seed, pairs):
                 hit = (pairs if n <= 2 else longer).has(h)
                 at, h = at[hit], h[hit]
@@ -348,19 +354,48 @@ def exact_counts(texts: DataFrame, short, long) -> DataFrame:
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (other[1:] != other[:-1])
                 starts = np.flatnonzero(new)
-                sizes += [n] * len(starts)
-                phrases += [text.phrase(i, n) for i in at[starts].tolist()]
-                counts += np.diff(np.append(starts, len(h))).tolist()
+                counts, at = np.diff(np.append(starts, len(h))), at[starts]
+                part = (h[starts] >> shift).astype(np.int64)
+                edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else [0]
+                for a, b in zip(edges[:-1], edges[1:]):
+                    phrases = "\n".join([text.phrase(i, n) for i in at[a:b].tolist()])
+                    rows.append((int(part[a]), phrases, packed(counts[a:b])))
+            part, phrases, counts = zip(*rows)
             yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(rows), pa.string()), pa.array(part, pa.int64()), pa.array(phrases, pa.string()), pa.array(counts, pa.binary())],
+                names=["lang", "part", "phrases", "counts"],
+            )
+
+    def merge(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def done(lang: str, total: dict[str, int]):
+            often = [(p, f) for p, f in total.items() if f >= least or not p]
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(sizes), pa.string()), pa.array(sizes, pa.int32()),
-                    pa.array(phrases, pa.string()), pa.array(counts, pa.int64()),
+                    pa.array([lang] * len(often), pa.string()),
+                    pa.array([p.count(" ") + 1 if p else 0 for p, _ in often], pa.int32()),
+                    pa.array([p or None for p, _ in often], pa.string()), pa.array([f for _, f in often], pa.int64()),
                 ],
                 names=["lang", "n_words", "phrase", "f"],
             )
 
-    rows = texts.mapInArrow(count, "lang string, n_words int, phrase string, f long")
-    return rows.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f"))
+        now, total = None, {}
+        for batch in batches:
+            columns = (batch.column(n).to_pylist() for n in ("part", "lang", "phrases", "counts"))
+            for part, lang, phrases, counts in zip(*columns):
+                if (part, lang) != now:
+                    if total:
+                        yield done(now[1], total)
+                    now, total = (part, lang), {}
+                for phrase, f in zip(phrases.split("\n"), unpacked(counts).tolist()):
+                    total[phrase] = total.get(phrase, 0) + f
+        if total:
+            yield done(now[1], total)
+
+    rows = texts.mapInArrow(count, "lang string, part long, phrases string, counts binary")
+    ordered = rows.repartition("part").sortWithinPartitions("part", "lang")
+    return ordered.mapInArrow(merge, "lang string, n_words int, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -382,8 +417,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
     for _ in range(2):
         bits = survivors(partition_summaries(texts, partition_bits, sent[0] if sent else None), least, partition_bits)
         sent.append(spark.sparkContext.broadcast(bits))
-    counted = exact_counts(texts, *sent)
-    return materialise(counted.where((F.col("f") >= least) | (F.col("n_words") == 0)), "phrases")
+    return materialise(exact_counts(texts, *sent, least, partition_bits), "phrases")
 
 
 def scored(phrases: DataFrame) -> DataFrame:
