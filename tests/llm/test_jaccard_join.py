@@ -10,17 +10,17 @@ from verdance.llm.components import components
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def shingles(text):
+def shingles(text, k=3):
     words = WORD.findall((text or "").encode().lower())
     if not words:
         return frozenset()
-    k = min(3, len(words))
+    k = min(k, len(words))
     return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
 
 
-def brute(rows):
+def brute(rows, shingle=3, percent=90):
     """Component by row, for rows with different ids."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, shingle) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(i):
@@ -32,7 +32,7 @@ def brute(rows):
     for x, a in enumerate(ids):
         for b in ids[x + 1 :]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 90 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 ra, rb = root(a), root(b)
                 parent[max(ra, rb)] = min(ra, rb)
     return {i: (len(sets[i]), root(i)) for i in ids}
@@ -118,6 +118,23 @@ def test_links_are_verified_pairs(docs_of):
     assert all(100 * len(sets[r.a] & sets[r.b]) >= 90 * len(sets[r.a] | sets[r.b]) for r in links)
 
 
+def test_classes_at_five_words_and_80_percent(docs_of):
+    rows = near_copies(7)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_classes(docs_of(rows), 5, 80)[0].collect()}
+    assert got == brute(rows, 5, 80)
+
+
+def test_the_bitmap_bound_keeps_all_links_and_few_others(spark, docs_of):
+    """A passage that many documents share puts them in common tiles; bitmaps part them without texts."""
+    rows = near_copies(9) + [(1000 + i, " ".join(f"v{i}_{j}" for j in range(60))) for i in range(60)]
+    sets = J.shingle_sets(docs_of(rows)).selectExpr("doc_id AS rep", "size", "bits")
+    ids = spark.createDataFrame([(i, j) for i, _ in rows for j, _ in rows if i < j], "a long, b long")
+    kept = {tuple(r) for r in J.bounded(ids, sets.where("size > 0"), 90).collect()}
+    own = {i: shingles(t) for i, t in rows}
+    linked = {(a, b) for a in own for b in own if a < b and 100 * len(own[a] & own[b]) >= 90 * len(own[a] | own[b]) > 0}
+    assert linked <= kept and len(kept) < 1.2 * len(linked) + 60
+
+
 def test_linked_sets_share_a_tile():
     draw = np.random.default_rng(4)
     for size in (10, 11, 19, 20, 57, 300, 2000):

@@ -199,9 +199,7 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
         p, q = np.nonzero(apart & near & once)
         for k in range(0, len(p), 65536):
             a, b = left[p[k : k + 65536]], right[q[k : k + 65536]]
-            # An element that sets a bit of one bitmap alone is in one set alone.
-            differing = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-            may = differing * (100 + percent) <= (size[a] + size[b]) * (100 - percent)
+            may = may_link(bits[a], bits[b], size[a] + size[b], percent)
             if may.any():
                 yield pa.RecordBatch.from_arrays([pa.array(rep[a][may]), pa.array(rep[b][may])], names=["a", "b"])
 
@@ -252,10 +250,38 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     return cells.mapInArrow(compare, "a long, b long")
 
 
+def may_link(bits_a, bits_b, sizes, percent: int):
+    """Whether bitmaps let sets link: an element that sets a bit of one bitmap alone is in one set alone."""
+    differing = np.bitwise_count(bits_a ^ bits_b).sum(axis=1, dtype=np.int64)
+    return differing * (100 + percent) <= sizes * (100 - percent)
+
+
+def bounded(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """Those pairs of ``a, b`` whose sizes and bitmaps let them link; no text is read for the others."""
+
+    def bits(column) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
+
+    def decide(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            sizes = batch.column("sizes").to_numpy(zero_copy_only=False)
+            may = may_link(bits(batch.column("bits_a")), bits(batch.column("bits_b")), sizes, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(may))
+
+    def side(name: str) -> DataFrame:
+        return chosen.select(F.col("rep").alias(name), F.col("size").alias(f"size_{name}"), F.col("bits").alias(f"bits_{name}"))
+
+    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    compared = joined.select("a", "b", (F.col("size_a") + F.col("size_b")).alias("sizes"), "bits_a", "bits_b")
+    return compared.mapInArrow(decide, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Those pairs of ``a, b`` whose sets link, by intersection of the sorted arrays.
 
-    ``docs`` has ``doc_id, text`` of the documents in the pairs.
+    ``docs`` has ``doc_id, text``; only texts of documents in the pairs are moved.
     """
 
     def decide(batches: Iterator) -> Iterator:
@@ -275,6 +301,8 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
             mask = pa.array(keep, pa.bool_())
             yield batch.select(["a", "b"]).filter(mask)
 
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    docs = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
@@ -311,10 +339,9 @@ def jaccard_classes(
     members = materialise(tile_members(chosen), "tiles")
 
     close = F.expr(f"a <> b and 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
-    first = materialise(first_pairs(members).where(close).select("a", "b").distinct(), "pairs")
-    found = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = materialise(plain.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
-    links = materialise(verified(first, texts, shingle, percent), "links")
+    tried = materialise(first_pairs(members).where(close).select("a", "b").distinct(), "pairs")
+    first = materialise(bounded(tried, chosen, percent), "pairs")
+    links = materialise(verified(first, plain, shingle, percent), "links")
     groups = materialise(components(links, "a", "b"), "groups")
 
     grouped = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
@@ -329,9 +356,9 @@ def jaccard_classes(
     rest = bounded_pairs(open_members, percent).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct()
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = materialise(verified(rest, texts, shingle, percent), "links")
+    more = materialise(verified(rest, plain, shingle, percent), "links")
     links = links.unionByName(more)
     groups = materialise(components(links, "a", "b"), "groups")
 
