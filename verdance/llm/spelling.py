@@ -34,8 +34,9 @@ GROUPS = 4
 BLOCK = 4096
 #: Distinct words that a task holds while it counts.
 HELD = 500_000
-# Letters are numbered a-z, then À-ÿ (26 and 64 of them).
-LETTERS = 90
+CHARSET = "ISO-8859-1"
+# a-z and À-ÿ.
+LETTERS = 26 + 64
 
 _RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{SHORTEST},}}")
 
@@ -81,19 +82,15 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _letters_of(words: list[str], length: int) -> np.ndarray:
-    """Numbers of the letters of words of one length, a row per word."""
-    codes = np.frombuffer("".join(words).encode("latin-1"), np.uint8).reshape(len(words), length)
-    return np.where(codes < 128, codes - 97, codes - 166)
-
-
 def letter_counts(codes: np.ndarray) -> np.ndarray:
-    """How often each letter occurs in each word."""
+    """How often each letter occurs in each word; ``codes`` has a row of ISO-8859-1 letters per word."""
     n, length = codes.shape
-    flat = codes.astype(np.int64) + LETTERS * np.arange(n)[:, None]
+    # Letters are numbered a-z, then À-ÿ.
+    numbers = np.where(codes < 128, codes - 97, codes - 166)
+    flat = numbers + LETTERS * np.arange(n)[:, None]
     counts = np.bincount(flat.ravel(), minlength=LETTERS * n).reshape(n, LETTERS)
-    # Products are exact while squares of lengths are below the number's precision.
-    return counts.astype(np.float32 if length < 4000 else np.float64)
+    # Products are exact while sums of squared lengths are below the number's precision.
+    return counts.astype(np.float32 if length < 2000 else np.float64)
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -149,84 +146,94 @@ def near_words(words: DataFrame) -> DataFrame:
     ``form`` is the near word with the largest ``n``, of equal ones the first.
     """
 
-    def ranked(names: list[str]) -> np.ndarray:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        return pc.rank(pa.array(names), sort_keys="ascending").to_numpy()
-
-    def rows(found: list[tuple]):
-        """Per word the number of its partners and the best one; ``found`` has name lists, places and sizes."""
+    def rows(names: np.ndarray, others: np.ndarray, own: np.ndarray, other: np.ndarray, n: np.ndarray):
+        """Per word the number of its partners and the best one; names are letters, the rest places and sizes."""
         import pyarrow as pa
 
-        names, others, own, other, n = found
-        order = np.lexsort((ranked(others)[other], -n[other], own))
-        own, other = own[order], other[order]
+        used, back = np.unique(other, return_inverse=True)
+        spelt = [others[i].tobytes() for i in used.tolist()]
+        rank = np.empty(len(used), np.int64)
+        rank[sorted(range(len(used)), key=spelt.__getitem__)] = np.arange(len(used))
+        order = np.lexsort((rank[back], -n[other], own))
+        own, back = own[order], back[order]
         first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-        best = other[first]
+        best = back[first].tolist()
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([names[i] for i in own[first].tolist()]),
+                pa.array([names[i].tobytes() for i in own[first].tolist()], pa.binary()),
                 pa.array(np.diff(np.append(first, len(own))), pa.int64()),
-                pa.array([others[i] for i in best.tolist()]), pa.array(n[best], pa.int64()),
+                pa.array([spelt[i] for i in best], pa.binary()), pa.array(n[used[best]], pa.int64()),
             ],
             names=["word", "n_near", "form", "form_n"],
         )
 
-    class Block:
-        def __init__(self, names: list[str], n: list[int]):
-            self.names, self.n = names, np.array(n, np.int64)
-            self.length = len(names[0])
-            self.codes = _letters_of(names, self.length)
-            self.counts = letter_counts(self.codes)
-            self.square = (self.counts * self.counts).sum(axis=1)
-
-        def meet(self, other: Block) -> tuple[np.ndarray, np.ndarray]:
-            distance = self.square[:, None] + other.square[None, :] - 2 * (self.counts @ other.counts.T)
-            wanted = 2 if self.length == other.length else 1
-            p, q = np.nonzero(distance == wanted)
-            right = np.concatenate(
-                [one_edit(self.codes[p[i : i + 65536]], other.codes[q[i : i + 65536]]) for i in range(0, len(p), 65536)]
-                or [np.empty(0, bool)]
-            )
+    class Home:
+        """A block of words of one cell, and the matrix by which visitors are multiplied."""
+
+        def __init__(self, codes: np.ndarray, n: np.ndarray):
+            self.codes, self.n = codes, n
+            counts = letter_counts(codes)
+            # Letters of the block alone add to products; lengths of vectors stand beside them.
+            self.letters = np.flatnonzero(counts.any(axis=0))
+            square = (counts * counts).sum(axis=1, keepdims=True)
+            self.matrix = np.concatenate((-2 * counts[:, self.letters], square, np.ones_like(square)), axis=1)
+
+        def meet(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            counts = letter_counts(codes).astype(self.matrix.dtype)
+            square = (counts * counts).sum(axis=1, keepdims=True)
+            other = np.concatenate((counts[:, self.letters], np.ones_like(square), square), axis=1)
+            distance = self.matrix @ other.T
+            p, q = np.nonzero(distance == (2 if self.codes.shape[1] == codes.shape[1] else 1))
+            right = [one_edit(self.codes[p[i : i + 65536]], codes[q[i : i + 65536]]) for i in range(0, len(p), 65536)]
+            right = np.concatenate(right) if right else np.empty(0, bool)
             return p[right], q[right]
 
     def compare(batches: Iterator) -> Iterator:
-        now, names, sizes, home = None, [], [], None
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        now, held, home = None, [], None
         for batch in batches:
-            cells, blocks, sides = (batch.column(c).to_pylist() for c in ("cell", "block", "side"))
-            words, n = batch.column("word").to_pylist(), batch.column("n").to_pylist()
-            keys = [(*c, b, s, len(w)) for c, b, s, w in zip(cells, blocks, sides, words)]
-            start = 0
-            while start < len(keys):
-                stop = start + 1
-                while stop < len(keys) and keys[stop] == keys[start]:
-                    stop += 1
-                key, some = keys[start], slice(start, stop)
-                start = stop
-                if key[:-2] != now:
-                    now, names, sizes, home = key[:-2], [], [], None
-                if key[-2] == 0:
-                    names += words[some]
-                    sizes += n[some]
+            if not batch.num_rows:
+                continue
+            cells = batch.column("cell").dictionary_encode()
+            names = cells.dictionary.to_pylist()
+            of, block, side, n = (
+                x.to_numpy(zero_copy_only=False) for x in (cells.indices, *(batch.column(c) for c in ("block", "side", "n")))
+            )
+            words = batch.column("word").cast(pa.large_binary())
+            length = pc.binary_length(words).to_numpy(zero_copy_only=False)
+            letters = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+            ends = np.concatenate(([0], np.cumsum(length)))
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (block[1:] != block[:-1]) | (side[1:] != side[:-1]) | (length[1:] != length[:-1])
+            starts = np.flatnonzero(new).tolist()
+            for i, j in zip(starts, [*starts[1:], len(of)]):
+                if (key := (names[of[i]], int(block[i]))) != now:
+                    now, held, home = key, [], None
+                codes = letters[ends[i] : ends[j]].reshape(j - i, int(length[i]))
+                if side[i] == 0:
+                    held.append((codes, n[i:j]))
                     continue
-                if not names:  # a visitor to a cell of which this block has no word
+                if not held:  # a visitor to a cell of which this block has no word
                     continue
-                home = home or Block(names, sizes)
-                visitor = Block(words[some], n[some])
-                p, q = home.meet(visitor)
+                home = home or Home(*(np.concatenate(x) for x in zip(*held)))
+                p, q = home.meet(codes)
                 if not len(p):
                     continue
-                yield rows((home.names, visitor.names, p, q, visitor.n))
-                if key[-2] == 2:
-                    yield rows((visitor.names, home.names, q, p, home.n))
+                yield rows(home.codes, codes, p, q, n[i:j])
+                if side[i] == 2:
+                    yield rows(codes, home.codes, q, p, home.n)
 
     placed = blocks_and_visitors(cell_of(words))
-    ordered = placed.repartition("cell", "block").sortWithinPartitions("cell", "block", "side", F.length("word"))
-    found = ordered.mapInArrow(compare, "word string, n_near long, form string, form_n long")
+    # Letters go to and from the workers as single bytes, in the order of their code points.
+    placed = placed.select(F.concat_ws(",", "cell").alias("cell"), "block", "side", F.encode("word", CHARSET).alias("word"), "n")
+    ordered = placed.repartition("cell", "block").sortWithinPartitions("cell", "block", "side", F.octet_length("word"))
+    found = ordered.mapInArrow(compare, "word binary, n_near long, form binary, form_n long")
     best = F.min(F.struct((-F.col("form_n")).alias("less"), "form"))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select(
-        "word", "n_near", F.col("best.form").alias("form"), (-F.col("best.less")).alias("form_n")
+        F.decode("word", CHARSET).alias("word"), "n_near", F.decode("best.form", CHARSET).alias("form"),
+        (-F.col("best.less")).alias("form_n"),
     )
 
 
