@@ -17,6 +17,7 @@ from verdance.oracle_views import VIEWS, Views
 from verdance.registry import _OLS_SQL, _TILE_VIEWS, MODEL_AS_OF, QUERIES, query
 from verdance.registry_files import _LATE_DAYS, _PERIOD_DAYS, _in_batches
 from verdance.session import materialise, shared_dir
+from verdance.sinks import log_store as LS
 from verdance.sources import driver_tables as D
 from verdance.sources import files as S
 from verdance.streaming import assembly as AS
@@ -233,6 +234,26 @@ def _(spark, sf):
     return SB.running_sums(spark, base, [], "precipitation", "cumulative_precip")
 
 
+@query(
+    "log_upsert",
+    "aoi_id:bigint scene_id:varchar date:date ndvi_mean:double vegetation_health:varchar seq:bigint",
+    """SELECT aoi_id, scene_id, date, CASE WHEN seq % 7 = 0 THEN cast(0.25 AS double) ELSE ndvi_mean END AS ndvi_mean,
+              CASE WHEN seq % 7 <> 0 AND ndvi_mean > 0.3 THEN 'Good' ELSE 'Poor' END AS vegetation_health,
+              CASE WHEN seq % 7 = 0 THEN seq + 1000000000 ELSE seq END AS seq FROM log_stream""",
+    "log_stream",
+)
+def _(spark, sf):
+    """The log in documents, written in two batches, and every seventh scene processed again."""
+    base = shared_dir(spark, "log-documents")
+    log = D.log_stream(D.table(spark, sf, "events"))
+    again = log.where("seq % 7 = 0").withColumns(
+        {"ndvi_mean": F.lit(0.25), "vegetation_health": F.lit("Poor"), "seq": F.col("seq") + 1_000_000_000}
+    )
+    for number, batch in enumerate((log.where("seq % 2 = 0"), log.where("seq % 2 = 1"), again)):
+        LS.upsert_log(batch, number, base, buckets=16)
+    return LS.read_log_store(spark, base)
+
+
 # --- intervals and models ----------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdance.streaming.versions import latest_version, running_query, write_next
+from verdance.streaming.versions import commits, folder_of, latest_version, read_version, running_query, write_next
 
 BLOCK = "_part"
 MANIFEST = f"{BLOCK} long, version string"
@@ -71,3 +71,26 @@ class Blocks:
             return self.spark.createDataFrame(sorted(now.items()), MANIFEST)
 
         write_next(self.spark, f"{self.base}/manifest", batch_id, manifest, keep=2)
+
+    def vacuum(self) -> int:
+        """Removes blocks that neither the newest manifest nor the one before it names; returns how many."""
+        place = f"{self.base}/manifest"
+        live = set()
+        for commit in commits(self.spark, place):
+            live |= {(r.version, r[BLOCK]) for r in read_version(self.spark, place, commit.v).collect()}
+        removed = 0
+        for name in self.names:
+            for version in _children(self.spark, f"{self.base}/{name}"):
+                blocks = {b: int(b.split("=")[1]) for b in _children(self.spark, f"{self.base}/{name}/{version}") if "=" in b}
+                dead = [b for b, number in blocks.items() if (version, number) not in live]
+                whole = len(dead) == len(blocks)
+                for path in [version] if whole else [f"{version}/{b}" for b in dead]:
+                    files, folder = folder_of(self.spark, f"{self.base}/{name}/{path}")
+                    files.delete(folder, True)
+                removed += len(dead)
+        return removed
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    files, folder = folder_of(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []

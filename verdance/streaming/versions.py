@@ -41,14 +41,15 @@ def running_query(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
-def _folder(spark: SparkSession, path: str):
+def folder_of(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def commits(spark: SparkSession, base: str) -> list[Commit]:
     """The committed versions that are kept, in order."""
-    files, place = _folder(spark, f"{base}/_commits")
+    files, place = folder_of(spark, f"{base}/_commits")
     if not files.exists(place):
         return []
     names = [status.getPath().getName().split("_") for status in files.listStatus(place)]
@@ -56,14 +57,14 @@ def commits(spark: SparkSession, base: str) -> list[Commit]:
 
 
 def _commit(spark: SparkSession, base: str, commit: Commit) -> None:
-    files, place = _folder(spark, f"{base}/_commits/{commit.name}")
+    files, place = folder_of(spark, f"{base}/_commits/{commit.name}")
     files.mkdirs(place)
 
 
 def _remove(spark: SparkSession, base: str, old: Sequence[Commit]) -> None:
     for commit in old:
         for path in (f"{base}/_commits/{commit.name}", f"{base}/v={commit.v}"):
-            files, place = _folder(spark, path)
+            files, place = folder_of(spark, path)
             files.delete(place, True)
 
 
