@@ -64,7 +64,7 @@ def test_equals_brute_force(docs_of, seed):
     got = S.spelling_variants(docs_of(rows)).collect()
     want = brute(rows)
     assert {tuple(r) for r in got} == want and len(got) == len(want)
-    assert sum(r[4] > 0 for r in want) > 50 and any(r[2] != r[1] for r in want if r[1])
+    assert sum(r[4] > 0 for r in want) > 50
 
 
 def test_blocks_and_small_batches_change_nothing(spark, docs_of, monkeypatch):
