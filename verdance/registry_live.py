@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdance.functions import geometry as G
 from verdance.operators import crop as CR
 from verdance.operators import forecast as FC
 from verdance.operators import intervals as IV
 from verdance.operators import pixels as PX
 from verdance.operators import scenes as SC
+from verdance.operators import utm as UT
 from verdance.oracle_views import VIEWS, Views
 from verdance.registry import _OLS_SQL, _TILE_VIEWS, MODEL_AS_OF, QUERIES, query
 from verdance.registry_files import _LATE_DAYS, _PERIOD_DAYS, _in_batches
@@ -74,6 +76,33 @@ def _(spark, sf):
     return PX.scene_stats(cropped, ("area", "scene_id", "scene_date"))
 
 
+@query(
+    "clip_utm",
+    "clip_id:varchar aoi_id:bigint scene_date:date lon_e4:bigint lat_e4:bigint",
+    """SELECT 'clip' AS clip_id, aoi_id, scene_date, lon_e4, lat_e4 FROM pixels
+       WHERE lon_e4 BETWEEN 557421 AND 557470 AND lat_e4 BETWEEN 242051 AND 242100
+         AND NOT (lon_e4 BETWEEN 557436 AND 557455 AND lat_e4 BETWEEN 242061 AND 242080)""",
+    "pixels",
+)
+def _(spark, sf):
+    """Pixels of a grid in whole metres, clipped to an area with a hole between their positions, and taken back to degrees."""
+    u, lon, lat = F.col("u"), F.col("lon"), F.col("lat")
+    grid = D.pixels(spark, sf).select(*D.SCENE, G.to_utm(lon, lat).alias("u")).select(
+        *D.SCENE, u["zone"].alias("zone"), F.lit(False).alias("south"),
+        F.round(u["easting"]).alias("easting"), F.round(u["northing"]).alias("northing"),
+    )
+
+    def ring(x: float, y: float, size: float):
+        return G.ring_literal([(x, y), (x + size, y), (x + size, y + size), (x, y + size), (x, y)])
+
+    rings = F.array(ring(55.74205, 24.20505, 0.005), ring(55.74355, 24.20605, 0.002))
+    area = spark.range(1).select(F.lit("clip").alias("clip_id"), rings.alias("rings"))
+    back = G.from_utm(F.col("easting"), F.col("northing"), F.col("zone"), F.col("south"))
+    return UT.clip_utm(grid, area, cell=100.0).select(
+        "clip_id", *D.SCENE, F.round(back["lon"] * 10000).alias("lon_e4"), F.round(back["lat"] * 10000).alias("lat_e4")
+    )
+
+
 def _holed_areas(spark: SparkSession, sf: str) -> DataFrame:
     """A square of six degrees with a hole of three per supplier."""
     key = F.col("s_suppkey")
