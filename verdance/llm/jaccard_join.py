@@ -309,6 +309,14 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     return joined.mapInArrow(decide, "a long, b long")
 
 
+def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Those pairs of ``a, b`` whose ends are in different groups, or in none."""
+    for end in ("a", "b"):
+        own = groups.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(own, end, "left")
+    return pairs.where("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
+
+
 def jaccard_classes(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
@@ -340,8 +348,14 @@ def jaccard_classes(
 
     close = F.expr(f"a <> b and 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
     tried = materialise(first_pairs(members).where(close).select("a", "b").distinct(), "pairs")
-    first = materialise(bounded(tried, chosen, percent), "pairs")
-    links = materialise(verified(first, plain, shingle, percent), "links")
+    first = bounded(tried, chosen, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = materialise(first.distinct(), "pairs")
+    # Every set meets its first partner, and the others only where that has not joined them yet.
+    one = first.groupBy("b").agg(F.min("a").alias("a"))
+    links = materialise(verified(one, plain, shingle, percent), "links")
+    groups = materialise(components(links, "a", "b"), "groups")
+    others = materialise(apart(first.join(one, ["a", "b"], "left_anti"), groups), "pairs")
+    links = links.unionByName(materialise(verified(others, plain, shingle, percent), "links"))
     groups = materialise(components(links, "a", "b"), "groups")
 
     grouped = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
