@@ -68,6 +68,27 @@ def test_two_attempts_of_one_batch_count_once(spark):
     assert rows_of(rollup.totals()) == [("s", "en", "v1", 1, 10)]
 
 
+def test_overlapping_compactions_count_once(spark):
+    """Two compactions list the same batches, one of them also a later one; then all is folded again."""
+    rollup = Rollup(spark, shared_dir(spark, "rollup"))
+    load = spark.createDataFrame([("s", "en", "v1", None, 10)], CHANGE)
+    rollup.apply("a", load)
+    rollup.apply("b", load)
+    first = rollup._active()
+    rollup.apply("c", load)
+    second = rollup._active()
+    for rows in (first, second, second):
+        rollup._write(f"fold-{len(rows)}-{id(rows)}-{len(rollup._commits())}", rollup._sum(rows), [r.batch for r in rows])
+        assert rows_of(rollup.totals()) == [("s", "en", "v1", 3, 30)]
+    rollup.apply("d", load)
+    for _ in range(2):
+        rollup.compact()
+        assert rows_of(rollup.totals()) == [("s", "en", "v1", 4, 40)]
+    rollup.apply("e", load)
+    rollup.compact()
+    assert rows_of(rollup.totals()) == [("s", "en", "v1", 5, 50)] and not rollup.apply("a", load)
+
+
 def test_a_delta_without_commit_does_not_count(spark):
     rollup = Rollup(spark, shared_dir(spark, "rollup"))
     rollup.apply("a", spark.createDataFrame([("s", "en", "v1", None, 10)], CHANGE))
@@ -85,7 +106,7 @@ def test_opposite_changes_leave_no_key(spark):
 def test_counts_of_awkward_rows(spark, awkward):
     count = libraries()
     made = counters(public_tokenizers.path, public_tokenizers.PATTERN)
-    given = awkward.selectExpr("doc_id", "text", "source AS n_chars", "CASE WHEN doc_id % 2 = 0 THEN 'word_bpe_49k' WHEN doc_id % 3 = 0 THEN 'other' ELSE 'byte_bpe_50k' END AS tokenizer")
+    given = awkward.selectExpr("doc_id", "text", "source AS n_chars", "-1 AS n_tokens", "CASE WHEN doc_id % 2 = 0 THEN 'word_bpe_49k' WHEN doc_id % 3 = 0 THEN 'other' ELSE 'byte_bpe_50k' END AS tokenizer")
     texts = {r.doc_id: r.text for r in awkward.collect()}
     got = with_counts(given, made).collect()
     assert len(got) == 14

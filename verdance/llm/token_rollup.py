@@ -69,10 +69,11 @@ def counters(folder: Callable[[str], str], pattern: str) -> dict[str, Callable]:
 def with_counts(texts: DataFrame, count_by: dict[str, Callable]) -> DataFrame:
     """Adds ``n_tokens`` under the version that the column ``tokenizer`` names; drops ``text``.
 
-    A missing text has no tokens; an unknown or missing version gives NULL.
+    A missing text has no tokens; an unknown or missing version gives NULL.  A
+    column of that name in ``texts`` is replaced.
     """
     small_batches(texts.sparkSession)
-    others = [f for f in texts.schema if f.name != "text"]
+    others = [f for f in texts.schema if f.name not in ("text", "n_tokens")]
 
     def count(batches: Iterator) -> Iterator:
         import numpy as np
@@ -154,9 +155,24 @@ class Rollup:
         return True
 
     def _active(self) -> list:
+        """The commits whose deltas add up to the totals, each batch once.
+
+        Two compactions that ran at once may have folded the same batches.  The
+        one of the smaller attempt counts, the other is void, and what it folded
+        beyond stays with its own delta; deltas are kept.
+        """
         rows = self._commits()
-        folded = {b for r in rows for b in r.folds}
-        return [r for r in rows if r.batch not in folded]
+        made = sorted((r for r in rows if r.folds), key=lambda r: r.attempt)
+        names = {r.batch for r in made}
+        accepted: list = []
+        for fold in made:
+            own = set(fold.folds) - names
+            nested = lambda other: other.batch in fold.folds or fold.batch in other.folds  # noqa: B023, E731
+            if all(nested(other) or not own & set(other.folds) for other in accepted):
+                accepted.append(fold)
+        folded = {b for r in accepted for b in r.folds}
+        counted = {r.batch for r in accepted}
+        return [r for r in rows if r.batch not in folded and (not r.folds or r.batch in counted)]
 
     def _sum(self, rows: list) -> DataFrame:
         if not rows:
