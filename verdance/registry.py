@@ -1228,4 +1228,3 @@ def _(spark, sf):
 
 
 from verdance import registry_files  # noqa: E402, F401  adds its queries
-from verdance import registry_live  # noqa: E402, F401  adds its queries

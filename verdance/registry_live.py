@@ -1,6 +1,6 @@
 """Queries of what is kept up by batches, and of rasters that are cropped before they become pixels.
 
-They belong to ``registry``, which imports this module.
+They belong to ``registry``; ``registry_files`` imports this module.
 """
 
 from __future__ import annotations
