@@ -98,11 +98,21 @@ def tile_keys(elements: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap(elements: np.ndarray) -> bytes:
-    bits = np.zeros(BITMAP_WORDS * 64, np.uint8)
-    bits[(mixed(elements) % np.uint64(len(bits))).astype(np.int64)] = 1
+    """A bit per hashed element, in at least twice as many bits as there are elements, a power of two."""
+    size = BITMAP_WORDS * 64
+    while size < 2 * len(elements):
+        size *= 2
+    bits = np.zeros(size, np.uint8)
+    bits[(mixed(elements) & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def folded(bitmaps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps of equal size as rows of ``size`` bytes in 64-bit words: what they would be with fewer bits."""
+    wide = np.frombuffer(b"".join(bitmaps), np.uint64).reshape(len(bitmaps), -1, size // 8)
+    return np.bitwise_or.reduce(wide, axis=1)
+
+
 def elements_of(text: bytes, shingle: int) -> np.ndarray:
     """The document's set, as a sorted array of hashes."""
     found = shingle_hashes(word_hashes(text), shingle)
@@ -172,7 +182,7 @@ def first_pairs(members: DataFrame) -> DataFrame:
 
 
 def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs across the classes of a tile that sizes and bitmaps let link.
+    """Pairs across the classes of a tile that sizes and short bitmaps let link.
 
     ``members`` has ``tile, rep, size, component, bits``.  Members outside the
     tile's largest class meet all others, in cells of two blocks, so a task
@@ -182,8 +192,9 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     def numbers(batch) -> dict:
         names = ("tile", "a", "b", "side", "rep", "size", "component")
         out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
-        flat = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64)
-        return out | {"bits": flat.reshape(-1, BITMAP_WORDS)}
+        given = batch.column("bits").to_pylist()
+        bits = [folded([b], BITMAP_WORDS * 8)[0] for b in given]
+        return out | {"bits": np.array(bits, np.uint64).reshape(-1, BITMAP_WORDS)}
 
     def pairs(cell: dict) -> Iterator:
         import pyarrow as pa
@@ -259,15 +270,18 @@ def may_link(bits_a, bits_b, sizes, percent: int):
 def bounded(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     """Those pairs of ``a, b`` whose sizes and bitmaps let them link; no text is read for the others."""
 
-    def bits(column) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
-
     def decide(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             sizes = batch.column("sizes").to_numpy(zero_copy_only=False)
-            may = may_link(bits(batch.column("bits_a")), bits(batch.column("bits_b")), sizes, percent)
+            bits = [batch.column(n).to_pylist() for n in ("bits_a", "bits_b")]
+            widths = np.array([[len(x), len(y)] for x, y in zip(*bits)], np.int64).reshape(-1, 2)
+            may = np.zeros(len(sizes), bool)
+            for pair in np.unique(widths, axis=0):
+                at = np.flatnonzero((widths == pair).all(axis=1))
+                one, two = (folded([b[i] for i in at.tolist()], int(pair.min())) for b in bits)
+                may[at] = may_link(one, two, sizes[at], percent)
             yield batch.select(["a", "b"]).filter(pa.array(may))
 
     def side(name: str) -> DataFrame:
@@ -371,7 +385,7 @@ def jaccard_classes(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct()
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = materialise(bounded(rest.join(tried, ["a", "b"], "left_anti"), chosen, percent), "pairs")
     more = materialise(verified(rest, plain, shingle, percent), "links")
     links = links.unionByName(more)
     groups = materialise(components(links, "a", "b"), "groups")
