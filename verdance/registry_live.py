@@ -174,7 +174,7 @@ _PERIOD = f"""SELECT *, cast(date '1970-01-01' + cast({_PERIOD_DAYS} * (datediff
 
 @query(
     "period_stats_corrected",
-    "period_start:varchar aoi_id:bigint scenes:bigint ndvi_mean:r6 ndvi_min:double ndvi_max:double late_rows:bigint corrected:boolean",
+    "period_start:varchar aoi_id:bigint scenes:bigint ndvi_mean:r10 ndvi_min:double ndvi_max:double late_rows:bigint corrected:boolean",
     f"""SELECT cast(period AS varchar) AS period_start, aoi_id, count(*) AS scenes, avg(ndvi_mean) AS ndvi_mean,
                min(ndvi_mean) AS ndvi_min, max(ndvi_mean) AS ndvi_max, count(CASE WHEN late THEN 1 END) AS late_rows,
                count(CASE WHEN late THEN 1 END) > 0 AS corrected
