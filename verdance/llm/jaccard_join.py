@@ -33,6 +33,9 @@ SHINGLE = 3
 PERCENT = 90
 BAND_RATIO = 1.4
 BITMAP_WORDS = 32
+SHORT = 8 * BITMAP_WORDS
+#: Shared tiles that are broadcast at most, 24 bytes each.
+MAX_HEADS = 500_000
 BLOCK = 1024
 
 
@@ -121,7 +124,10 @@ def elements_of(text: bytes, shingle: int) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, size, set_hi, set_lo, bits, tiles``: a digest, bitmap and tile numbers per document."""
+    """``doc_id, size, set_hi, set_lo, bits, short, tiles`` per document: a digest, bitmaps and tile numbers.
+
+    ``short`` is the bitmap folded to the least width, which cells of tiles carry.
+    """
     import xxhash
 
     def describe(batches: Iterator) -> Iterator:
@@ -133,8 +139,9 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                 elements = elements_of(text, shingle)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(elements.tobytes()), "<i8")
                 tiles = tile_keys(elements, percent).view(np.int64)
-                rows.append((len(elements), int(digest[0]), int(digest[1]), bitmap(elements), tiles))
-            size, hi, lo, bits, tiles = zip(*rows) if rows else ((),) * 5
+                bits = bitmap(elements)
+                rows.append((len(elements), int(digest[0]), int(digest[1]), bits, folded([bits], SHORT).tobytes(), tiles))
+            size, hi, lo, bits, short, tiles = zip(*rows) if rows else ((),) * 6
             ends = np.concatenate(([0], np.cumsum([len(t) for t in tiles]))).astype(np.int32)
             flat = np.concatenate(tiles) if tiles else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -144,12 +151,13 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                     pa.array(hi, pa.int64()),
                     pa.array(lo, pa.int64()),
                     pa.array(bits, pa.binary()),
+                    pa.array(short, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                names=["doc_id", "size", "set_hi", "set_lo", "bits", "tiles"],
+                names=["doc_id", "size", "set_hi", "set_lo", "bits", "short", "tiles"],
             )
 
-    schema = "doc_id long, size long, set_hi long, set_lo long, bits binary, tiles array<long>"
+    schema = "doc_id long, size long, set_hi long, set_lo long, bits binary, short binary, tiles array<long>"
     return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
@@ -158,8 +166,8 @@ def tile_members(chosen: DataFrame) -> DataFrame:
 
     ``head`` is the tile's set with the smallest id.  Members are dealt to
     blocks of about ``BLOCK``, so that no step gathers a tile that a large group
-    of copies fills.  The heads are written, so that the join meets a plain
-    table, of which Spark splits hot partitions.
+    of copies fills.  The heads are written and counted: few are broadcast, else
+    the join meets a plain table, of which Spark splits hot partitions.
     """
     placed = chosen.select("rep", "size", F.explode("tiles").alias("tile"))
     heads = (
@@ -168,6 +176,9 @@ def tile_members(chosen: DataFrame) -> DataFrame:
         .where("n > 1")
     )
     heads = materialise(heads, "heads")
+    if heads.count() <= MAX_HEADS:
+        # Most tiles hold one set: these rows then never leave their task.
+        heads = F.broadcast(heads)
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / BLOCK)).cast("int")
     return placed.join(heads, "tile").select("tile", "rep", "size", "head", "head_size", block.alias("block"))
 
@@ -184,7 +195,7 @@ def first_pairs(members: DataFrame) -> DataFrame:
 def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs across the classes of a tile that sizes and short bitmaps let link.
 
-    ``members`` has ``tile, rep, size, component, bits``.  Members outside the
+    ``members`` has ``tile, rep, size, component, short``.  Members outside the
     tile's largest class meet all others, in cells of two blocks, so a task
     holds one cell at a time.
     """
@@ -192,9 +203,8 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     def numbers(batch) -> dict:
         names = ("tile", "a", "b", "side", "rep", "size", "component")
         out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
-        given = batch.column("bits").to_pylist()
-        bits = [folded([b], BITMAP_WORDS * 8)[0] for b in given]
-        return out | {"bits": np.array(bits, np.uint64).reshape(-1, BITMAP_WORDS)}
+        flat = np.frombuffer(b"".join(batch.column("short").to_pylist()), np.uint64)
+        return out | {"bits": flat.reshape(-1, BITMAP_WORDS)}
 
     def pairs(cell: dict) -> Iterator:
         import pyarrow as pa
@@ -244,7 +254,7 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     )
     placed = members.join(tiles, "tile").withColumn("minor", F.col("component") != F.col("largest"))
     salt = F.xxhash64("rep")
-    row = ["tile", "rep", "size", "component", "bits"]
+    row = ["tile", "rep", "size", "component", "short"]
 
     def every(blocks: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks).cast("long") - 1))
@@ -355,7 +365,7 @@ def jaccard_classes(
     several = equal.where("copies > 1").select("set_hi", "set_lo", "rep")
     reps = equal.select(F.col("rep").alias("doc_id"), "set_hi", "set_lo")
     chosen = full.join(reps, ["doc_id", "set_hi", "set_lo"], "left_semi").select(
-        F.col("doc_id").alias("rep"), "size", "bits", "tiles"
+        F.col("doc_id").alias("rep"), "size", "bits", "short", "tiles"
     )
     chosen = materialise(chosen, "chosen")
     members = materialise(tile_members(chosen), "tiles")
@@ -379,7 +389,7 @@ def jaccard_classes(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low < high").select("tile")
     open_members = materialise(
-        grouped.join(mixed_tiles, "tile", "left_semi").join(chosen.select("rep", "bits"), "rep"), "open-tiles"
+        grouped.join(mixed_tiles, "tile", "left_semi").join(chosen.select("rep", "short"), "rep"), "open-tiles"
     )
     rest = bounded_pairs(open_members, percent).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
