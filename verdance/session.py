@@ -19,6 +19,9 @@ SETTINGS = {
 }
 
 
+#: Removes an execution's shuffle files when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _made: list[str] = []
 
 
@@ -50,10 +53,12 @@ def scratch_mark() -> int:
     return len(_made)
 
 
-def remove_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Removes the scratch folders this process has asked for since the mark, when results are written."""
-    while len(_made) > since:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+def remove_scratch(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Removes the scratch folders this process has asked for between the marks, when results are written."""
+    gone = _made[since:until]
+    del _made[since:until]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -61,7 +66,17 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     It outlives lost executors and is computed once however often it is used.
+    What was shuffled for it leaves the executors' disks once it is written.
     """
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.parquet(path)
