@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from verdance.llm.components import components
 from verdance.llm.words import WORD, mixed, shingle_hashes, small_batches, utf8, word_hashes
-from verdance.session import materialise
+from verdance.session import materialise, remove_scratch, scratch_mark
 
 SHINGLE = 3
 #: A link: PERCENT * union <= 100 * intersection.
@@ -34,7 +34,7 @@ PERCENT = 90
 BAND_RATIO = 1.4
 BITMAP_WORDS = 32
 SHORT = 8 * BITMAP_WORDS
-#: Shared tiles that are broadcast at most, 24 bytes each.
+#: Shared tiles that are broadcast at most, 16 bytes each.
 MAX_HEADS = 500_000
 BLOCK = 1024
 
@@ -162,25 +162,23 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
 
 def tile_members(chosen: DataFrame) -> DataFrame:
-    """``tile, rep, size, head, head_size, block`` of the sets in tiles of two or more.
+    """``tile, rep, size, n, block, head, head_size`` of the sets in tiles of two or more, ``n`` of them.
 
     ``head`` is the tile's set with the smallest id.  Members are dealt to
     blocks of about ``BLOCK``, so that no step gathers a tile that a large group
-    of copies fills.  The heads are written and counted: few are broadcast, else
-    the join meets a plain table, of which Spark splits hot partitions.
+    of copies fills.  The shared tiles are written and counted: few are broadcast,
+    else the join meets a plain table, of which Spark splits hot partitions.
     """
     placed = chosen.select("rep", "size", F.explode("tiles").alias("tile"))
-    heads = (
-        placed.groupBy("tile")
-        .agg(F.min("rep").alias("head"), F.min_by("size", "rep").alias("head_size"), F.count("*").alias("n"))
-        .where("n > 1")
-    )
-    heads = materialise(heads, "heads")
-    if heads.count() <= MAX_HEADS:
-        # Most tiles hold one set: these rows then never leave their task.
-        heads = F.broadcast(heads)
+    # Most tiles hold one set, so the count of all sends their numbers alone.
+    shared = materialise(placed.groupBy("tile").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    if shared.count() <= MAX_HEADS:
+        shared = F.broadcast(shared)
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    return placed.join(heads, "tile").select("tile", "rep", "size", "head", "head_size", block.alias("block"))
+    together = materialise(placed.join(shared, "tile").select("tile", "rep", "size", "n", block.alias("block")), "shared")
+    heads = together.groupBy("tile").agg(F.min(F.struct("rep", "size")).alias("first"))
+    heads = heads.select("tile", F.col("first.rep").alias("head"), F.col("first.size").alias("head_size"))
+    return together.join(heads, "tile")
 
 
 def first_pairs(members: DataFrame) -> DataFrame:
@@ -210,7 +208,7 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
         import pyarrow as pa
 
         size, comp, rep, bits, minor = (cell[n] for n in ("size", "component", "rep", "bits", "side"))
-        left, right = np.flatnonzero(minor == 0), np.flatnonzero(minor != 0)
+        left, right = np.flatnonzero((minor == 0) | (minor == 3)), np.flatnonzero(minor != 0)
         apart = comp[left][:, None] != comp[right][None, :]
         near = (size[left][:, None] * 100 >= size[right][None, :] * percent) & (
             size[right][None, :] * 100 >= size[left][:, None] * percent
@@ -259,7 +257,12 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     def every(blocks: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks).cast("long") - 1))
 
-    # Sides: 0 a member outside the largest class, met by 1 others outside and 2 those inside.
+    # Sides: 0 a member outside the largest class, met by 1 others outside and 2 those inside;
+    # 3 is 0 and 1 at once, for tiles of one block, which send a member once.
+    small = placed.where("blocks = 1").select(
+        *row, F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.when(F.col("minor"), 3).otherwise(2).alias("side")
+    )
+    placed = placed.where("blocks > 1")
     left = placed.where("minor").select(
         *row, F.pmod(salt, F.col("minor_blocks")).cast("long").alias("a"), every("blocks").alias("b"), F.lit(0).alias("side")
     )
@@ -267,7 +270,7 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
         *row, every("minor_blocks").alias("a"), F.pmod(salt, F.col("blocks")).cast("long").alias("b"),
         F.when(F.col("minor"), 1).otherwise(2).alias("side"),
     )
-    cells = left.unionByName(right).repartition("tile", "a", "b").sortWithinPartitions("tile", "a", "b")
+    cells = small.unionByName(left).unionByName(right).repartition("tile", "a", "b").sortWithinPartitions("tile", "a", "b")
     return cells.mapInArrow(compare, "a long, b long")
 
 
@@ -354,9 +357,12 @@ def jaccard_classes(
     links if any of its texts does, and each row gets the component of the class
     of its own set.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    mark = scratch_mark()
     sets = materialise(shingle_sets(plain, shingle, percent), "sets")
+    wide = scratch_mark()
     full = sets.where("size > 0 and doc_id is not null")
     equal = full.groupBy("set_hi", "set_lo").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies")
@@ -368,6 +374,9 @@ def jaccard_classes(
         F.col("doc_id").alias("rep"), "size", "bits", "short", "tiles"
     )
     chosen = materialise(chosen, "chosen")
+    # Bitmaps and tile numbers are with the representatives now; the rest is narrow.
+    sets = materialise(sets.select("doc_id", "size", "set_hi", "set_lo"), "sets")
+    remove_scratch(spark, mark, wide)
     members = materialise(tile_members(chosen), "tiles")
 
     close = F.expr(f"a <> b and 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
@@ -382,7 +391,8 @@ def jaccard_classes(
     links = links.unionByName(materialise(verified(others, plain, shingle, percent), "links"))
     groups = materialise(components(links, "a", "b"), "groups")
 
-    grouped = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+    # The only pair of a tile of two is decided by now.
+    grouped = members.where("n > 2").join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
     mixed_tiles = grouped.groupBy("tile").agg(
