@@ -154,3 +154,22 @@ def test_components(spark):
     got = {r.node: r.component for r in found.collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, 70: 70, 100: 70, 200: 200, 201: 200, 202: 200}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_linked_sets_have_as_many_common_tiles_as_the_smaller_needs():
+    draw = np.random.default_rng(6)
+    most = 0
+    for percent in (80, 90):
+        for size in (12, 60, 400, 3000, 12000):
+            for _ in range(8):
+                a = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+                cut = size * (100 - percent) // 220
+                more = draw.integers(0, 2**64, cut, dtype=np.uint64)
+                b = np.unique(np.concatenate((np.delete(a, draw.choice(size, cut, replace=False)), more)))
+                both = len(np.intersect1d(a, b))
+                assert 100 * both >= percent * (len(a) + len(b) - both)
+                small = min(a, b, key=len)
+                need = J.least_common(small, percent)
+                assert cut == 0 or len(np.intersect1d(J.tile_keys(a, percent), J.tile_keys(b, percent))) >= need
+                most = max(most, need)
+    assert most > 5

@@ -61,8 +61,8 @@ class Band:
 
     @property
     def spare(self) -> int:
-        """Segments beyond what differing elements can spoil, for empty ones."""
-        return 2 + self.differing // 50
+        """Segments beyond what differing elements can spoil: for empty ones, and so that linked sets share several."""
+        return 2 + self.differing // 10
 
     @property
     def segments(self) -> int:
@@ -100,6 +100,21 @@ def tile_keys(elements: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
 
 
+def least_common(elements: np.ndarray, percent: int) -> int:
+    """Tiles that a set has in common with any larger or equal one it links with, at least.
+
+    Of the segments of the set's own band at least ``spare + 1`` are not spoiled;
+    those of them that are empty need not be tiles.
+    """
+    bands = bands_of(len(elements), percent)
+    if not bands or not bands[-1].differing:
+        return 1
+    band = bands[-1]
+    of = ((elements >> np.uint64(32)) * np.uint64(band.segments)) >> np.uint64(32)
+    filled = 1 + int(np.count_nonzero(of[1:] != of[:-1]))
+    return max(1, band.spare + 1 - (band.segments - filled))
+
+
 def bitmap(elements: np.ndarray) -> bytes:
     """A bit per hashed element, in at least twice as many bits as there are elements, a power of two."""
     size = BITMAP_WORDS * 64
@@ -124,9 +139,10 @@ def elements_of(text: bytes, shingle: int) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, size, set_hi, set_lo, bits, short, tiles`` per document: a digest, bitmaps and tile numbers.
+    """``doc_id, size, set_hi, set_lo, bits, short, need, tiles`` per document: a digest, bitmaps and tile numbers.
 
-    ``short`` is the bitmap folded to the least width, which cells of tiles carry.
+    ``short`` is the bitmap folded to the least width, which cells of tiles
+    carry; ``need`` is what ``least_common`` says.
     """
     import xxhash
 
@@ -140,8 +156,8 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                 digest = np.frombuffer(xxhash.xxh3_128_digest(elements.tobytes()), "<i8")
                 tiles = tile_keys(elements, percent).view(np.int64)
                 bits = bitmap(elements)
-                rows.append((len(elements), int(digest[0]), int(digest[1]), bits, folded([bits], SHORT).tobytes(), tiles))
-            size, hi, lo, bits, short, tiles = zip(*rows) if rows else ((),) * 6
+                rows.append((len(elements), int(digest[0]), int(digest[1]), bits, folded([bits], SHORT).tobytes(), least_common(elements, percent), tiles))
+            size, hi, lo, bits, short, need, tiles = zip(*rows) if rows else ((),) * 7
             ends = np.concatenate(([0], np.cumsum([len(t) for t in tiles]))).astype(np.int32)
             flat = np.concatenate(tiles) if tiles else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -152,12 +168,13 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                     pa.array(lo, pa.int64()),
                     pa.array(bits, pa.binary()),
                     pa.array(short, pa.binary()),
+                    pa.array(need, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                names=["doc_id", "size", "set_hi", "set_lo", "bits", "short", "tiles"],
+                names=["doc_id", "size", "set_hi", "set_lo", "bits", "short", "need", "tiles"],
             )
 
-    schema = "doc_id long, size long, set_hi long, set_lo long, bits binary, short binary, tiles array<long>"
+    schema = "doc_id long, size long, set_hi long, set_lo long, bits binary, short binary, need long, tiles array<long>"
     return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
@@ -191,15 +208,17 @@ def first_pairs(members: DataFrame) -> DataFrame:
 
 
 def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs across the classes of a tile that sizes and short bitmaps let link.
+    """Pairs ``a, b`` across the classes of tiles that sizes, short bitmaps and common tiles let link.
 
-    ``members`` has ``tile, rep, size, component, short``.  Members outside the
+    ``members`` has ``tile, rep, size, component, short, need``, all members of
+    a tile.  A pair comes out of a cell once for each tile it has in common, and
+    must do so as often as its smaller set needs.  Members outside the
     tile's largest class meet all others, in cells of two blocks, so a task
     holds one cell at a time.
     """
 
     def numbers(batch) -> dict:
-        names = ("tile", "a", "b", "side", "rep", "size", "component")
+        names = ("tile", "a", "b", "side", "rep", "size", "component", "need")
         out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
         flat = np.frombuffer(b"".join(batch.column("short").to_pylist()), np.uint64)
         return out | {"bits": flat.reshape(-1, BITMAP_WORDS)}
@@ -207,7 +226,7 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     def pairs(cell: dict) -> Iterator:
         import pyarrow as pa
 
-        size, comp, rep, bits, minor = (cell[n] for n in ("size", "component", "rep", "bits", "side"))
+        size, comp, rep, need, bits, minor = (cell[n] for n in ("size", "component", "rep", "need", "bits", "side"))
         left, right = np.flatnonzero((minor == 0) | (minor == 3)), np.flatnonzero(minor != 0)
         apart = comp[left][:, None] != comp[right][None, :]
         near = (size[left][:, None] * 100 >= size[right][None, :] * percent) & (
@@ -220,7 +239,10 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
             a, b = left[p[k : k + 65536]], right[q[k : k + 65536]]
             may = may_link(bits[a], bits[b], size[a] + size[b], percent)
             if may.any():
-                yield pa.RecordBatch.from_arrays([pa.array(rep[a][may]), pa.array(rep[b][may])], names=["a", "b"])
+                a, b = a[may], b[may]
+                needs = np.where(size[a] < size[b], need[a], np.where(size[b] < size[a], need[b], np.minimum(need[a], need[b])))
+                ends = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*ends, needs)], names=["a", "b", "need"])
 
     def compare(batches: Iterator) -> Iterator:
         held = None
@@ -252,7 +274,7 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
     )
     placed = members.join(tiles, "tile").withColumn("minor", F.col("component") != F.col("largest"))
     salt = F.xxhash64("rep")
-    row = ["tile", "rep", "size", "component", "short"]
+    row = ["tile", "rep", "size", "component", "short", "need"]
 
     def every(blocks: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks).cast("long") - 1))
@@ -271,7 +293,9 @@ def bounded_pairs(members: DataFrame, percent: int) -> DataFrame:
         F.when(F.col("minor"), 1).otherwise(2).alias("side"),
     )
     cells = small.unionByName(left).unionByName(right).repartition("tile", "a", "b").sortWithinPartitions("tile", "a", "b")
-    return cells.mapInArrow(compare, "a long, b long")
+    met = cells.mapInArrow(compare, "a long, b long, need long")
+    often = met.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    return often.where("n >= need").select("a", "b")
 
 
 def may_link(bits_a, bits_b, sizes, percent: int):
@@ -371,7 +395,7 @@ def jaccard_classes(
     several = equal.where("copies > 1").select("set_hi", "set_lo", "rep")
     reps = equal.select(F.col("rep").alias("doc_id"), "set_hi", "set_lo")
     chosen = full.join(reps, ["doc_id", "set_hi", "set_lo"], "left_semi").select(
-        F.col("doc_id").alias("rep"), "size", "bits", "short", "tiles"
+        F.col("doc_id").alias("rep"), "size", "bits", "short", "need", "tiles"
     )
     chosen = materialise(chosen, "chosen")
     # Bitmaps and tile numbers are with the representatives now; the rest is narrow.
@@ -399,13 +423,12 @@ def jaccard_classes(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low < high").select("tile")
     open_members = materialise(
-        grouped.join(mixed_tiles, "tile", "left_semi").join(chosen.select("rep", "short"), "rep"), "open-tiles"
+        grouped.join(mixed_tiles, "tile", "left_semi").join(chosen.select("rep", "short", "need"), "rep"), "open-tiles"
     )
-    rest = bounded_pairs(open_members, percent).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialise(bounded(rest.join(tried, ["a", "b"], "left_anti"), chosen, percent), "pairs")
+    # Written apart, so that the cells are gone before the wide bitmaps travel.
+    rest = materialise(bounded_pairs(open_members, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = materialise(bounded(rest, chosen, percent), "pairs")
     more = materialise(verified(rest, plain, shingle, percent), "links")
     links = links.unionByName(more)
     groups = materialise(components(links, "a", "b"), "groups")
