@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -14,6 +13,8 @@ from verdance.streaming.versions import write_next
 
 SLOTS = 64
 SLOT_BITS = 16
+#: States that the areas of a slot share; each holds a share of the areas, so it stays small.
+BUCKETS = 512
 
 
 def advance(batch: DataFrame, batch_id: int, base: str, k: int = ROLLING_ENTRIES) -> DataFrame:
@@ -67,33 +68,56 @@ def alert_writer(entries: DataFrame, base: str, checkpoint: str) -> DataStreamWr
 def entering_entries(
     entries: DataFrame, k: int = ROLLING_ENTRIES, slots: int = SLOTS
 ) -> DataFrame:
-    """Entries that enter the last ``k`` of their slot, from state of ``k`` numbers per slot.
+    """Entries that enter the last ``k`` of their area in their slot, from state of ``k`` numbers each.
 
     Every 2**16 arrivals go to the next slot in turn, so an area that is busy
     is shared by tasks while a quiet one stays in few slots.  An
     entry among the last ``k`` of its area is among the last ``k`` of its slot
     when it arrives, so ``rolling_last`` over the output is exact.
+
+    The areas of a slot share ``BUCKETS`` states, as many areas have few entries
+    in a slot and a state apart would cost more than they do.  Areas that are
+    missing have a bucket of their own; entries without a number count as oldest.
     """
     columns = list(COLUMNS)
 
     def keep(key, frames, state):
         import numpy as np
+        import pandas as pd
 
-        last = np.array(state.get[0], dtype="int64") if state.exists else np.empty(0, "int64")
+        areas, sizes, last = state.get if state.exists else ([], [], [])
+        areas, last = np.array(areas, dtype=object), np.array(last, dtype="int64")
+        owner = np.repeat(np.arange(len(areas)), np.array(sizes, dtype="int64"))
         for frame in frames:
-            last = np.sort(np.concatenate([last, frame["seq"].to_numpy()]))[-k:]
-            yield frame.loc[frame["seq"] >= last[0], columns]
-        state.update((last.tolist(),))
+            known, seq = len(areas), frame["_seq"].to_numpy()
+            codes, areas = pd.factorize(np.concatenate([areas, frame["_area"].to_numpy(dtype=object)]))
+            owner, last = np.concatenate([owner, codes[known:]]), np.concatenate([last, seq])
+            order = np.lexsort((last, owner))
+            owner, last = owner[order], last[order]
+            ends = np.searchsorted(owner, np.arange(len(areas)), "right")
+            kept = ends[owner] - np.arange(len(owner)) <= k
+            owner, last = owner[kept], last[kept]
+            oldest = last[np.searchsorted(owner, np.arange(len(areas)))]
+            yield frame.loc[seq >= oldest[codes[known:]], columns]
+        state.update((areas.tolist(), np.bincount(owner, minlength=len(areas)).tolist(), last.tolist()))
 
     slot = F.pmod(F.shiftright("seq", SLOT_BITS), F.lit(slots))
+    area = F.col("aoi_id")
     return (
         entries.select(*columns)
-        .withColumn("_slot", slot)
-        .groupBy("aoi_id", "_slot")
+        .withColumns(
+            {
+                "_slot": slot,
+                "_bucket": F.when(area.isNotNull(), F.pmod(F.xxhash64(area), F.lit(BUCKETS))),
+                "_area": F.coalesce(area.cast("string"), F.lit("")),
+                "_seq": F.coalesce("seq", F.lit(-(1 << 63))),
+            }
+        )
+        .groupBy("_bucket", "_slot")
         .applyInPandasWithState(
             keep,
             entries.select(*columns).schema,
-            T.StructType([T.StructField("last", T.ArrayType(T.LongType()))]),
+            "areas array<string>, sizes array<long>, last array<long>",
             "append",
             GroupStateTimeout.NoTimeout,
         )
