@@ -87,3 +87,71 @@ def test_all_three_alerts_are_shown(spark, tmp_path):
     shown = sorted(QUERIES["alerts_shown"](spark, sf).collect())
     assert [(r.aoi_id, r.alert_no) for r in shown] == [(1, 1), (1, 2), (1, 3)]
     assert shown == sorted(QUERIES["alerts_rolling"](spark, sf).collect())
+
+
+def test_areas_of_a_slot_share_states(spark, tmp_path, monkeypatch):
+    from verdance import schemas
+    from verdance.operators import veglog as VL
+    from verdance.streaming import rolling_log as RL
+    from verdance.streaming import scene_results as SR
+    from verdance.streaming.versions import run_available
+
+    monkeypatch.setattr(RL, "BUCKETS", 8, raising=False)
+    monkeypatch.setattr(RL, "SLOT_BITS", 9)
+    day = dt.date(2024, 1, 1)
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for part in range(2):
+        areas = [None if i % 50 == 0 else "busy" if i % 3 == 0 else f"a{i % 300}" for i in range(600)]
+        rows = [(a, f"s{part}_{i}", day, 0.5, "Good", 600 * part + i) for i, a in enumerate(areas)]
+        spark.createDataFrame(rows, schemas.VEGLOG).coalesce(1).write.mode("append").parquet(source)
+        run_available(RL.state_writer(SR.read_stream(spark, source, schemas.VEGLOG), out, progress))
+    want = VL.rolling_last(spark.read.schema(schemas.VEGLOG).parquet(source)).select(*VL.COLUMNS)
+    got = VL.rolling_last(spark.read.parquet(out)).select(*VL.COLUMNS)
+    assert got.count() == want.count() > 400 and got.exceptAll(want).count() == 0
+    states = spark.read.format("statestore").load(progress).count()
+    assert states <= 3 * 9  # slots times buckets, and a bucket for missing areas
+
+
+def test_pixels_are_projected_once(spark):
+    from tests.conftest import SMALL
+    from tests.test_plans import plan_of
+
+    plan = plan_of(QUERIES["clip_utm"](spark, SMALL))
+    assert not any("SINH" in line for line in plan.splitlines() if "Filter" in line)
+
+
+def test_a_band_of_a_tile_takes_few_calls_for_state():
+    import pandas as pd
+
+    from verdance.streaming import assembly as AS
+
+    calls = []
+
+    class State:
+        value = None
+
+        def __getattr__(self, name):
+            def call(*args):
+                calls.append(name)
+                if name in ("update", "clear"):
+                    self.value = args[0] if args else None
+                return self.value
+
+            return call
+
+    class Handle(State):
+        def getValueState(self, *_):
+            return State()
+
+        def getMapState(self, *_):
+            return State()
+
+    tile = AS.Assembly(1000)
+    tile.init(Handle())
+    key, done = (1, AT.date(), 0, 2, 1, 10.0, 20.0, 0.5, -0.5), []
+    for band in ("red", "nir", "green", "blue"):
+        calls.clear()
+        frame = pd.DataFrame({"band": [band], "dn": [[1, 2]], "arrived_at": [pd.Timestamp(AT)]})
+        done += list(tile.handleInputRows(key, iter([frame]), None))
+        assert len(calls) <= 5, calls
+    assert [(f.status[0], f.missing[0], f.blue_dn[0]) for f in done] == [("complete", [], [1, 2])]
