@@ -100,15 +100,16 @@ def write_version(df: DataFrame, base: str, batch_id: int, keys: Sequence[str] =
     Rows of a later version replace those with equal keys.
     """
     spark = df.sparkSession
-    last = next((i for i, c in enumerate(reversed(commits(spark, base))) if c.whole), None)
-    behind = len(commits(spark, base)) if last is None else last
-    if not keys or behind < MERGE_EVERY:
+    run, done = running_query(spark), commits(spark, base)
+    own = [c for c in done if (c.run, c.batch) == (run, batch_id)]
+    behind = next((i for i, c in enumerate(reversed(done)) if c.whole), len(done))
+    # A replay of a merging batch merges again, as its version stands for all before it.
+    if not (keys and (own[0].whole if own else behind >= MERGE_EVERY)):
         write_next(spark, base, batch_id, lambda _: df, whole=False)
         return
 
     def merged(_: DataFrame | None) -> DataFrame:
-        run = running_query(spark)
-        before = [c for c in commits(spark, base) if (c.run, c.batch) != (run, batch_id)]
+        before = [c for c in done if c not in own]
         rows = _rows(spark, base, before).unionByName(df.withColumn("v", F.lit(1 << 60).cast("long")))
         return first_rows(rows, keys, [F.col("v").desc()], 1).drop("v")
 
