@@ -155,3 +155,17 @@ def test_a_band_of_a_tile_takes_few_calls_for_state():
         done += list(tile.handleInputRows(key, iter([frame]), None))
         assert len(calls) <= 5, calls
     assert [(f.status[0], f.missing[0], f.blue_dn[0]) for f in done] == [("complete", [], [1, 2])]
+
+
+def test_tiles_of_one_lattice_share_windows(spark, pairs):
+    from verdance.operators import crop as CR
+
+    names = ["scene_id", "scene_date", "tile_id", "width", "height", "x0", "y0", "dx", "dy"]
+    rows = [(i, AT.date(), i % 5, 4, 4, 10.0, 20.0, 0.5, -0.5) for i in range(10)]
+    tiles = spark.createDataFrame(rows, "scene_id long, scene_date date, tile_id int, width int, height int, x0 double, y0 double, dx double, dy double")
+    wide = tiles.selectExpr(*names, *[f"array_repeat(1, 16) AS {b}_dn" for b in ("red", "green", "blue", "nir")])
+    areas = spark.createDataFrame([(1, square(10.6, 18.6, 0.8))], "area long, ring array<struct<lon double, lat double>>")
+    seen = pairs(CR, "materialise")
+    got = CR.cropped_pixels(wide, areas)
+    assert sorted((r.scene_id, r.tile_id, r.row, r.col) for r in got.collect()) == [(i, i % 5, r, c) for i in range(10) for r in (1, 2) for c in (1, 2)]
+    assert seen == [1]
