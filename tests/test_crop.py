@@ -110,3 +110,49 @@ def test_empty_tables(spark):
     frame = wide(spark, [tile(0, 10.0, 20.0, 4, 4)])
     assert C.cropped_pixels(frame.limit(0), area).count() == 0
     assert C.cropped_pixels(frame, area.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_groups_of_areas_and_scenes_are_not_shuffled(spark, monkeypatch, many):
+    """Scenes of several lattices, missing ids, parts of areas: in place or shuffled, the statistics are the same."""
+    draw = random.Random(3)
+    tiles = [tile(number, 10.0 + number % 4, 20.0, 8, 8) for number in range(24)]
+    tiles = [(f"scene{i % 7}" if i % 5 else None, DAY if i % 3 else None, *t[2:]) for i, t in enumerate(tiles)]
+    areas = [(f"a{i}", [square(draw.uniform(9.5, 13.5), draw.uniform(18.8, 19.8), draw.uniform(0.2, 2.0))]) for i in range(20)]
+    areas += [("a0", [square(10.1, 19.1, 0.9)]), (None, [square(11.6, 19.1, 0.9)])]
+    frame, area = wide(spark, tiles), spark.createDataFrame(areas, AREA)
+    keys = ("aoi_id", "scene_id", "scene_date")
+    want = PX.scene_stats(PX.assign_aoi(PX.tile_pixels(frame), area, cell=0.5), keys)
+    if many:
+        monkeypatch.setattr(C, "FREE_BYTES", 0)
+        monkeypatch.setattr(C, "GROUP_BYTES", 1 << 40)
+        monkeypatch.setattr(C, "BLOCK_AREAS", 3)
+        monkeypatch.setattr(C, "TASK_GROUPS", 8)
+    pixels = C.cropped_pixels(frame, area, in_place=True)
+    got = PX.scene_stats(pixels, (*keys, *C.PLACE))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" not in plan.split("SortMergeJoin")[0].split("Generate")[0]) == many
+
+    def values(df):
+        found = df.select(*keys, F.round("ndvi_mean", 9), "ndvi_count", F.round("ndwi_mean", 9), "vegetation_pixels").collect()
+        return sorted((tuple(map(str, r)) for r in found))
+
+    assert values(got) == values(want)
+    assert len(values(got)) > 100
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_sides_are_cut_in_place_or_dealt(spark, monkeypatch, few):
+    monkeypatch.setattr(C, "FEW_SIDES", few)
+    diamond = ring([(10.5, 18.4), (11.6, 19.4), (10.5, 20.4), (9.4, 19.4)])
+    got = both_ways(spark, [tile(i, 10 + i / 4, 20.0, 9, 7) for i in range(4)], [("a", [diamond, square(10.3, 19.2, 0.4)]), ("b", [square(10.2, 19.0, 0.6)])])
+    assert len(got) > 50
+
+
+def test_few_sides_are_not_shuffled(spark):
+    """One row per line of a raster is shuffled, not one per side of an area that touches it."""
+    area = spark.createDataFrame([("a", [square(10.0, 19.0, 0.8)])], AREA)
+    lattices = C._lattices(wide(spark, [tile(0, 10.0, 20.0, 8, 8)]))
+    plan = C._lattice_windows(lattices, area, 1.0)._jdf.queryExecution().executedPlan().toString()
+    # the lines by lattice and area, once for both parts of the table, and the sides of large polygons
+    assert sum("hashpartitioning" in x and "row" in x for x in plan.splitlines()) == 1
