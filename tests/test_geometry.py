@@ -143,3 +143,43 @@ def test_cells_of_a_large_polygon(spark):
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id int, lon double, lat double")
     got = {r.id for r in P.assign_aoi(df, aoi, cell=0.01).collect()}
     assert got == {i for i, (x, y) in enumerate(points) if brute(x, y, ring + ring[:1])}
+
+
+def test_items_in_scratch_are_compressed(spark):
+    import glob
+
+    from tests.conftest import SMALL
+    from verdance import session
+    from verdance.registry_live import QUERIES
+
+    mark = session.scratch_mark()
+    QUERIES["scenes_over_holed_areas"](spark, SMALL)
+    path = next(p for p in session._made[mark:] if "/items-" in p)
+    assert glob.glob(f"{path}/part-*") and all(p.endswith(".gz") for p in glob.glob(f"{path}/part-*"))
+
+
+@pytest.mark.parametrize("repeats", [1, 5])
+def test_footprints_that_hardly_repeat_are_not_shuffled(spark, repeats):
+    def square(x, y, size):
+        return [(x, y), (x + size, y), (x + size, y + size), (x, y + size), (x, y)]
+
+    def where(i):
+        return (i * 7 % 40 / 10.0, i * 3 % 30 / 10.0)
+
+    point = "array<struct<lon: double, lat: double>>"
+    rows = [(f"s{n}-{i}", i, square(*where(i), 0.5)) for i in range(40) for n in range(repeats)]
+    rows += [("without", -1, None), rows[0]]
+    scenes = spark.createDataFrame(rows, f"scene_id string, n int, footprint {point}")
+    holed = [(f"a{k}", [square(k / 2, k / 3, 2.0), square(k / 2 + 0.3, k / 3 + 0.3, 1.4)]) for k in range(6)]
+    aoi = spark.createDataFrame([*holed, holed[0]], f"aoi_id string, rings array<{point}>")
+    got = SC.scenes_over_aoi(scenes, aoi)
+    assert got.columns == ["scene_id", "n", "footprint", "aoi_id"]
+    assert ("Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()) == (repeats == 1)
+
+    def meets(i, k):
+        (x, y), (ax, ay) = where(i), (k / 2, k / 3)
+        apart = x > ax + 2 or x + 0.5 < ax or y > ay + 2 or y + 0.5 < ay
+        return not apart and not (ax + 0.3 < x and x + 0.5 < ax + 1.7 and ay + 0.3 < y and y + 0.5 < ay + 1.7)
+
+    want = sorted((s, f"a{k}") for s, i, ring in rows if ring for k in (0, *range(6)) if meets(i, k))
+    assert sorted((r.scene_id, r.aoi_id) for r in got.collect()) == want
